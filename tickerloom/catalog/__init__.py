@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tickerloom.catalog import alpha
+from tickerloom.catalog import alpha, chat, dates, labels, rows, text
 
-_MODULES = (alpha,)
+_MODULES = (alpha, text, labels, dates, rows, chat)
 
 
 def _merged(attribute: str) -> dict:

@@ -16,9 +16,18 @@ LABEL_MARKERS = ["Sentiment:", "Decision:"]
 # ----------------------------------------------------------------------------
 
 
+def as_number(c: Column) -> Column:
+    """Numeric text as double, else null.
+
+    The cast alone would read a type suffix (``1d``, ``2f``) as part of a number.
+    """
+    text = c.cast("string")
+    return F.when(~text.rlike(r"(?i)^[\s\d.+e-]*\d\.?[df]\s*$"), text.try_cast("double"))
+
+
 def map_numeric_sentiment(c: Column, names: dict[float, str] = SENTIMENT_NAMES) -> Column:
     """Known codes to names; any other value stays as its own text."""
-    code = c.try_cast("double")
+    code = as_number(c)
     mapped = F.lit(None).cast("string")
     for value, name in names.items():
         mapped = F.when(code == value, F.lit(name)).otherwise(mapped)
