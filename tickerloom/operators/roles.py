@@ -10,7 +10,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
@@ -41,9 +41,13 @@ def _has(pattern: str, name: str) -> bool:
     return re.search(pattern, name.strip(), re.I) is not None
 
 
-def profile(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per key: row count and, per column, non-null and numeric values."""
-    counts = [F.count("*").alias("n_rows")]
+def profile(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
+            extra: Sequence[Column] = ()) -> DataFrame:
+    """Per key: row count and, per column, non-null and numeric values.
+
+    ``extra`` aggregates ride along in the same pass.
+    """
+    counts = [F.count("*").alias("n_rows"), *extra]
     for name in columns:
         counts.append(F.count(col(name)).alias(f"{name}__non_null"))
         counts.append(F.count(as_number(col(name))).alias(f"{name}__numeric"))
