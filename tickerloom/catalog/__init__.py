@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tickerloom.catalog import alpha, chat, dates, labels, rows, text
+from tickerloom.catalog import alpha, chat, dates, flows, labels, rows, text
 
-_MODULES = (alpha, text, labels, dates, rows, chat)
+_MODULES = (alpha, text, labels, dates, rows, chat, flows)
 
 
 def _merged(attribute: str) -> dict:

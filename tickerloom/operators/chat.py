@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickerloom.operators.filters import well_formed
 
@@ -74,7 +75,7 @@ def label_batches(df: DataFrame, label: Callable[[pd.Series], pd.Series],
     ``label`` gets the prompt texts of one Arrow batch and returns as many
     responses, null where it failed.
     """
-    schema = df.schema.add("output", "string")
+    schema = StructType([*df.schema.fields, StructField("output", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
