@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.catalog.labels import BLOCK_SQL, block_text
-from tickerloom.catalog.tables import table
+from tickerloom.catalog.tables import spread_table, table
 from tickerloom.operators import chat as C
 from tickerloom.operators import filters
 from tickerloom.operators import tokens as T
@@ -24,7 +24,7 @@ def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
 
 def turn_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """A user turn and the assistant turn right after it, joined on their key."""
-    turns = table(spark, sf, "conversations")
+    turns = spread_table(spark, sf, "conversations", "conv_id", "turn")
     asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("input"))
     told = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
@@ -68,7 +68,7 @@ def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, most of them several slices long."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
     tokens = T.token_rows(docs, ["doc_id"], "text")
     chunks = T.encode_chunks(tokens, T.vocabulary(tokens), ["doc_id"])
     return chunks.select("doc_id", "chunk_no", F.size("input_ids").alias("n_ids"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.catalog.tables import iso, table
+from tickerloom.catalog.tables import iso, spread_table
 from tickerloom.functions import dates as D
 from tickerloom.operators import aggregates
 from tickerloom.operators.alpha import window_bounds
@@ -25,7 +25,7 @@ def rendered(spark: SparkSession, sf: str) -> DataFrame:
     for priority, (pattern, _) in STYLES.items():
         text = F.when(F.col("o_orderpriority") == priority,
                       F.date_format("o_orderdate", pattern)).otherwise(text)
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders", "o_orderkey").select(
         "o_orderkey", "o_orderstatus",
         F.when(F.col("o_orderstatus") == "P", F.lit("foo")).otherwise(text).alias("raw"))
 
@@ -41,7 +41,7 @@ def parse_dates_dayfirst(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse_dates_complex(spark: SparkSession, sf: str) -> DataFrame:
-    source = table(spark, sf, "orders").select(
+    source = spread_table(spark, sf, "orders", "o_orderkey").select(
         "o_orderkey", F.date_format("o_orderdate", "MMMM d, yyyy, EEEE").alias("raw"))
     return D.parse_complex(source, "raw", "ts").select(
         "o_orderkey", "raw", D.to_iso_utc(F.col("ts")).alias("ts"))
@@ -49,7 +49,7 @@ def parse_dates_complex(spark: SparkSession, sf: str) -> DataFrame:
 
 def parse_dates_exact(spark: SparkSession, sf: str) -> DataFrame:
     pattern = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders", "o_orderkey").select(
         "o_orderkey",
         F.coalesce(pattern, F.date_format("o_orderdate", "yyyyMMdd")).alias("raw"),
     ).select("o_orderkey", "raw", D.to_iso_utc(D.parse_exact(F.col("raw"))).alias("ts"))
@@ -57,7 +57,7 @@ def parse_dates_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar date as shown, and the price window around it."""
-    source = table(spark, sf, "orders").select("o_orderkey", F.concat(
+    source = spread_table(spark, sf, "orders", "o_orderkey").select("o_orderkey", F.concat(
         F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T23:30:00-05:00")).alias("raw"))
     low, high = window_bounds(F.col("d"))
     return D.to_event_date(source, "raw", "d").select(

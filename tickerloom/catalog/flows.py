@@ -12,7 +12,7 @@ from tickerloom.catalog import alpha as alpha_queries
 from tickerloom.catalog.chat import turn_pairs
 from tickerloom.catalog.labels import BLOCK_SQL, block_text
 from tickerloom.catalog.rows import _WORDS
-from tickerloom.catalog.tables import iso, table
+from tickerloom.catalog.tables import iso, spread_table, table
 from tickerloom.operators import alpha as A
 from tickerloom.operators import chat, matching, roles
 from tickerloom.plans import alpha_news as N
@@ -28,7 +28,7 @@ def news(spark: SparkSession, sf: str) -> DataFrame:
 
     Copies of a text share a url; documents in one language have no publisher.
     """
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     raw = docs.join(orders, docs.doc_id == orders.o_orderkey, "left").select(
         "doc_id", F.concat(F.lit("https://n/"), F.sha2("text", 256)).alias("url"),

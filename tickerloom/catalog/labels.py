@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.catalog.tables import table
+from tickerloom.catalog.tables import spread_table, table
 from tickerloom.functions import labels as L
 from tickerloom.operators import filters
 
@@ -39,7 +39,7 @@ def block_text(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("Summary: "), F.translate("text", "\n\r", "  ")),
     ]
     tail = F.when(F.col("toxic") == 0, "\nDecision: BUY").otherwise("")
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    rows = spread_table(spark, sf, "documents", "doc_id").join(table(spark, sf, "labels"), "doc_id")
     return rows.select("doc_id", "text", F.concat(F.concat_ws("\n", *lines), tail).alias("output"))
 
 

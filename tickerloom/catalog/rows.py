@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.catalog.alpha import events
-from tickerloom.catalog.tables import iso, table
+from tickerloom.catalog.tables import spread_table, table
 from tickerloom.operators import aggregates, columns, dedup, filters, joins, matching, ranking
 from tickerloom.sources.dims import KEYWORDS
 
@@ -71,8 +71,8 @@ def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
                              F.array_join(F.slice("w", 1, 2), " ").alias("company_name"))
     keywords = words.groupBy(F.get("w", F.lit(2)).alias("keyword")).agg(
         F.min("item_id").cast("int").alias("kw_idx"))
-    return matching.match_news(table(spark, sf, "documents").select("doc_id", "text"),
-                               companies, keywords)
+    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    return matching.match_news(docs, companies, keywords)
 
 
 def unpivot_wide(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,7 +84,8 @@ def unpivot_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_choice(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    docs = spread_table(spark, sf, "documents", "doc_id")
+    rows = docs.join(table(spark, sf, "labels"), "doc_id", "left")
     full = F.when(F.col("quality") == 1, F.col("text"))
     chosen = columns.choose_text(F.col("source"), columns.publisher_title(F.col("lang")),
                                  F.when(F.col("toxic") == 1, F.col("text")), full)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.catalog.tables import table
+from tickerloom.catalog.tables import spread_table
 from tickerloom.functions import text as X
 
 SAMPLE_LEAD = "They're sure it's "
@@ -13,27 +13,27 @@ SAMPLE_TAIL = " and WON'T say what's in there; I'd say we couldn't."
 
 
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
+    docs = spread_table(spark, sf, "documents", "doc_id").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("row_key"), "text")
-    turns = table(spark, sf, "conversations").select(
+    turns = spread_table(spark, sf, "conversations", "conv_id", "turn").select(
         F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn")).alias("row_key"), "text")
     return X.normalize_text(docs.unionByName(turns), ["text"])
 
 
 def strip_html(spark: SparkSession, sf: str) -> DataFrame:
     plain = X.collapse_ws(X.unescape_entities(X.strip_tags(X.fill_empty(F.col("html")))))
-    return table(spark, sf, "pages").select("page_id", plain.alias("text"))
+    return spread_table(spark, sf, "pages", "page_id").select("page_id", plain.alias("text"))
 
 
 def contractions(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(F.lit(SAMPLE_LEAD), F.col("text"), F.lit(SAMPLE_TAIL))
-    return table(spark, sf, "documents").select("doc_id", text.alias("text")).select(
+    return spread_table(spark, sf, "documents", "doc_id").select("doc_id", text.alias("text")).select(
         "doc_id", X.expand_contractions(F.col("text")).alias("text"))
 
 
 def text_steps(spark: SparkSession, sf: str) -> DataFrame:
     """Each remaining step on its own, over whole pages."""
-    pages = table(spark, sf, "pages").select("page_id", "html", "url")
+    pages = spread_table(spark, sf, "pages", "page_id").select("page_id", "html", "url")
     html = F.col("html")
     return pages.select(
         "page_id",

@@ -30,7 +30,7 @@ _CLOCK = (r"^[\s,Tt]*(?:at\s+)?(\d{1,2})(?::?(\d{2}))?(?::?(\d{2})(?:[.,](\d{1,6
 
 
 def _shapes(day_first: bool, year_day_month: bool) -> list[tuple[str, str]]:
-    """(pattern, rewrite) pairs; the first that matches decides."""
+    """(pattern, rewrite) pairs for text that starts with a digit; the first match decides."""
     shapes = []
     if year_day_month:
         shapes.append((rf"^(\d{{4}}){_SEP}(\d{{1,2}})\2(0?[1-9]|1[0-2])(?!\d)(.*)$",
@@ -51,15 +51,28 @@ def _shapes(day_first: bool, year_day_month: bool) -> list[tuple[str, str]]:
     return shapes + [
         (rf"^(\d{{1,2}}){_SEP}(\d{{1,2}})\2(\d{{4}})(?!\d)(.*)$", preferred),
         (rf"(?i)^{_DAY}{_GAP}{_MONTH}{_GAP}(\d{{4}})(?!\d)(.*)$", "$3-$2-$1|$4"),
-        (rf"(?i)^{_MONTH}{_GAP}{_DAY}[\s\-/.,]+(\d{{4}})(?![\d:])(.*)$", "$3-$1-$2|$4"),
-        (rf"(?i)^{_MONTH}\s+{_DAY}\s+(\d{{1,2}}:[\d:.]+)\s+(\d{{4}})$", "$4-$1-$2|$3"),
         (rf"(?i)^(\d{{4}}){_GAP}{_MONTH}{_GAP}{_DAY}(?!\d)(.*)$", "$1-$2-$3|$4"),
-        (rf"(?i)^{_MONTH}{_GAP}(\d{{4}})$", "$2-$1-1|"),
         (r"^(\d{4})[-/](\d{1,2})$", "$1-$2-1|"),
         (r"^(\d{4})$", "$1-1-1|"),
     ]
 
 
+# Shapes of text that starts with a month name.
+_NAMED = [
+    (rf"(?i)^{_MONTH}{_GAP}{_DAY}[\s\-/.,]+(\d{{4}})(?![\d:])(.*)$", "$3-$1-$2|$4"),
+    (rf"(?i)^{_MONTH}\s+{_DAY}\s+(\d{{1,2}}:[\d:.]+)\s+(\d{{4}})$", "$4-$1-$2|$3"),
+    (rf"(?i)^{_MONTH}{_GAP}(\d{{4}})$", "$2-$1-1|"),
+]
+
+
+def _first_shape(text: Column, shapes: list[tuple[str, str]]) -> Column:
+    canon = F.lit(None).cast("string")
+    for pattern, rewrite in reversed(shapes):
+        canon = F.when(text.rlike(pattern),
+                       F.regexp_replace(text, pattern, rewrite)).otherwise(canon)
+    return canon
+
+
 def _resolve(df: DataFrame, source: str, day_first: bool,
              year_day_month: bool) -> DataFrame:
     """Add ``__local`` (ISO text without zone) and ``__offset`` (``+hh:mm``)."""
@@ -73,11 +86,10 @@ def _resolve(df: DataFrame, source: str, day_first: bool,
         ).otherwise(F.regexp_replace("__text", r"^(\d{8})\.0$", "$1")),
     )
     text = F.col("__text")
-    canon = F.lit(None).cast("string")
-    for pattern, rewrite in reversed(_shapes(day_first, year_day_month)):
-        canon = F.when(text.rlike(pattern),
-                       F.regexp_replace(text, pattern, rewrite)).otherwise(canon)
-    df = df.withColumn("__canon", canon)
+    initial = F.substring(text, 1, 1)
+    df = df.withColumn("__canon", F.when(
+        initial.between("0", "9"), _first_shape(text, _shapes(day_first, year_day_month)),
+    ).when(F.lower(initial).between("a", "s"), _first_shape(text, _NAMED)))
     df = df.withColumns({
         "__ymd": F.split(F.substring_index("__canon", "|", 1), "-"),
         "__rest": F.expr("substring(__canon, instr(__canon, '|') + 1)"),

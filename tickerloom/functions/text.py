@@ -64,6 +64,7 @@ CONTRACTIONS = {
 # Unicode white space; Java's \s alone covers only part of it.
 SPACE = (r"[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+SPACE_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _WORD = r"[\p{L}\p{N}_]"
 
 
@@ -163,19 +164,29 @@ def strip_artefacts(c: Column, repair_mojibake: bool = False) -> Column:
     )
 
 
+def _contraction_pattern(short: str) -> str:
+    before = f"(?<={_WORD})" if short.startswith("'") else f"(?<!{_WORD})"
+    return f"(?iu){before}{short}(?!{_WORD})"
+
+
 def expand_contractions(c: Column) -> Column:
     """Whole-word contractions, any case, to lower-case phrases.
 
     The patterns never overlap, so replacing them one after another, longest
-    first, gives the same text as one scan over all of them.
+    first, gives the same text as one scan over all of them. A plain substring
+    search picks the few a text can hold; only those run as patterns.
     """
-    def step(text: Column, short: str) -> Column:
-        before = f"(?<={_WORD})" if short.startswith("'") else f"(?<!{_WORD})"
-        pattern = f"(?iu){before}{short}(?!{_WORD})"
-        return F.regexp_replace(text, pattern, CONTRACTIONS[short])
-
-    chain = reduce(step, sorted(CONTRACTIONS, key=len, reverse=True), c)
-    return F.when(c.contains("'"), chain).otherwise(c)
+    known = F.array(*[
+        F.struct(F.lit(short).alias("short"), F.lit(_contraction_pattern(short)).alias("pattern"),
+                 F.lit(CONTRACTIONS[short]).alias("phrase"))
+        for short in sorted(CONTRACTIONS, key=len, reverse=True)])
+    # Three letters match an ASCII letter in any-case search but not in lower().
+    folded = F.when(is_ascii(c), c).otherwise(F.translate(c, "\u0131\u017f\u212a", "isk"))
+    held = F.get(F.transform(F.array(F.lower(folded)), lambda low: F.filter(
+        known, lambda k: low.contains(k["short"]))), F.lit(0))
+    expanded = F.aggregate(
+        held, c, lambda text, k: F.regexp_replace(text, k["pattern"], k["phrase"]))
+    return F.when(c.contains("'"), expanded).otherwise(c)
 
 
 def ascii_only(c: Column) -> Column:
@@ -188,12 +199,12 @@ def collapse_ws(c: Column) -> Column:
 
 def trim_ws(c: Column) -> Column:
     """Trim Unicode white space, not only blanks."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def is_blank(c: Column) -> Column:
     """Null, or nothing but white space."""
-    return F.coalesce(~c.rlike(SPACE.replace("[", "[^", 1)), F.lit(True))
+    return F.coalesce(trim_ws(c) == "", F.lit(True))
 
 
 def normalize_text(df: DataFrame, columns: Iterable[str],

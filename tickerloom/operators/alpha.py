@@ -12,6 +12,9 @@ which adaptive execution splits when a ticker is hot.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ def daily_close(prices: DataFrame, keys: list[str], close: Column) -> DataFrame:
     Null keys are dropped here, so that every use of the same series has the
     same plan and Spark reuses one shuffle for all of them.
     """
-    present = prices.dropna(subset=keys)
+    present = prices.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     return present.groupBy(*keys).agg(F.max(close).alias("close")).where("close is not null")
 
 

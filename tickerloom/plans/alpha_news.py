@@ -70,6 +70,7 @@ def alpha_news(news: DataFrame, prices: DataFrame, benchmark: DataFrame,
     """All steps from article, price and benchmark tables to labelled records."""
     wanted = companies if done is None else joins.skip_completed(companies, done, "ticker")
     results = search_results(news, wanted, keywords)
+    prices = prices.join(wanted.select("ticker"), "ticker", "left_semi")
     return labelled_records(results, news, wanted, A.alpha_by_day(prices, benchmark))
 
 
