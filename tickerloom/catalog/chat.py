@@ -137,7 +137,7 @@ SELECT doc_id, 'system,user,assistant' AS roles, {_SYSTEM} AS system,
        text AS "user", output AS assistant
 FROM blocks WHERE contains(output, 'Sentiment:') AND contains(output, 'Decision:')""",
     "render_chat": f"WITH {_CHATS} SELECT * FROM chats",
-    "vocabulary": f"WITH {_CONVERSATION_TOKENS} SELECT token, id, n FROM vocab",
+    "vocabulary": f"WITH {_CONVERSATION_TOKENS} SELECT token, id AS token_id, n FROM vocab",
     "token_chunks": f"""WITH {_CONVERSATION_TOKENS}
 SELECT conv_id, turn, chunk_no, CAST(len(ids) AS INTEGER) AS n_ids,
        CAST(len(ids) AS INTEGER) AS mask_sum, array_to_string(ids, ' ') AS ids

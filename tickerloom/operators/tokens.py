@@ -33,10 +33,10 @@ def token_rows(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
 
 
 def vocabulary(tokens: DataFrame) -> DataFrame:
-    """(token, id, n): ids from 0 by falling count, ties by token."""
+    """(token, token_id, n): ids from 0 by falling count, ties by token."""
     counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
     ranked = global_row_number(counts, [F.desc("n"), F.asc("token")], "__rank")
-    return ranked.select("token", (F.col("__rank") - 1).cast("int").alias("id"), "n")
+    return ranked.select("token", (F.col("__rank") - 1).cast("int").alias("token_id"), "n")
 
 
 def with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -45,13 +45,13 @@ def with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     Common tokens make up most of any text and would be hot join keys. They are
     matched by broadcast; only the rare rest is shuffled on the token.
     """
-    common = F.col("id") < FREQUENT
+    common = F.col("token_id") < FREQUENT
     short = F.length("token") <= FREQUENT_CHARS
-    frequent = vocab.where(common & short).select("token", "id")
-    rest = vocab.where(~(common & short)).select("token", "id")
+    frequent = vocab.where(common & short).select("token", "token_id")
+    rest = vocab.where(~(common & short)).select("token", "token_id")
     looked_up = tokens.join(F.broadcast(frequent), "token", "left")
-    hits = looked_up.where("id is not null")
-    misses = looked_up.where("id is null").drop("id").join(rest, "token")
+    hits = looked_up.where("token_id is not null")
+    misses = looked_up.where("token_id is null").drop("token_id").join(rest, "token")
     return hits.unionByName(misses)
 
 
@@ -65,8 +65,8 @@ def encode_chunks(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str],
     """
     chunk = F.floor(F.col("pos") / max_length).cast("int").alias("chunk_no")
     gathered = with_ids(tokens, vocab).groupBy(*keys, chunk).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__slice"))
-    return gathered.select(*keys, "chunk_no", F.col("__slice.id").alias("input_ids"))
+        F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("__slice"))
+    return gathered.select(*keys, "chunk_no", F.col("__slice.token_id").alias("input_ids"))
 
 
 def chunk_ids(df: DataFrame, ids: str = "input_ids",

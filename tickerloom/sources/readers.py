@@ -120,9 +120,10 @@ def read_jsonl_lenient(spark: SparkSession, path: str, schema: str | StructType)
     read_as = StructType([*wanted.fields, StructField("_corrupt_record", StringType())])
 
     def load() -> DataFrame:
-        rows = spark.read.schema(read_as).option("mode", "PERMISSIVE").option(
-            "columnNameOfCorruptRecord", "_corrupt_record").json(path)
-        return rows.where("_corrupt_record is null").drop("_corrupt_record")
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        parsed = lines.select(F.from_json("value", read_as, options).alias("r")).select("r.*")
+        return parsed.where("_corrupt_record is null").drop("_corrupt_record")
 
     return _or_empty(spark, load, wanted)
 
