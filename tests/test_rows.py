@@ -136,3 +136,9 @@ def test_roles(spark):
     import datetime as dt
     typed = [Row(when=dt.datetime(2020, 1, 1), day="2020-01-01")]
     assert roles.infer_roles(spark.createDataFrame(typed)).date == "when"
+
+
+def test_best_score_and_restored_order(spark):
+    df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 1)], "name string, score int")
+    assert ranking.best_score(df, "score", "name").first().name == "a"
+    assert [r.name for r in dedup.restore_order(df, ["score", "name"]).collect()] == ["c", "a", "b"]

@@ -10,6 +10,7 @@ from tickerloom.catalog.tables import spread_table, table
 from tickerloom.operators import chat as C
 from tickerloom.operators import filters
 from tickerloom.operators import tokens as T
+from tickerloom.plans.token_set import token_dataset
 
 KEYS = ["conv_id", "turn"]
 
@@ -59,10 +60,11 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return _chunks(spark, sf).select(
+    """The token data set of the conversations."""
+    chats = C.to_chat_messages(turn_pairs(spark, sf))
+    return token_dataset(chats, KEYS).select(
         *KEYS, "chunk_no", F.size("input_ids").alias("n_ids"),
-        F.aggregate(T.attention_mask(F.col("input_ids")), F.lit(0), lambda a, x: a + x
-                    ).alias("mask_sum"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
         F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"))
 
 

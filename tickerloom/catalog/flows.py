@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,12 @@ from tickerloom.catalog.chat import turn_pairs
 from tickerloom.catalog.labels import BLOCK_SQL, block_text
 from tickerloom.catalog.rows import _WORDS
 from tickerloom.catalog.tables import iso, spread_table, table
+from tickerloom.catalog.text import NORMALIZED_SQL
 from tickerloom.operators import alpha as A
 from tickerloom.operators import chat, matching, roles
 from tickerloom.plans import alpha_news as N
 from tickerloom.plans import chat_set
+from tickerloom.plans.ingest import ingest, read_ingested
 from tickerloom.session import prepare, shared_dir
 from tickerloom.sources import readers, sinks
 from tickerloom.sources.contracts import news_table, prices_table
@@ -132,7 +135,34 @@ def infer_roles(spark: SparkSession, sf: str) -> DataFrame:
                "target_columns string")
 
 
+def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document written twice to CSV files by source, ingested, read back.
+
+    Both copies share a file, so labelled documents come back once and
+    unlabelled ones twice.
+    """
+    base = f"{shared_dir(prepare(spark))}/files-{uuid.uuid4().hex}"
+    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text", "source")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("doc_id"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("publish_date"))
+    labels = table(spark, sf, "labels").select(
+        "doc_id", F.when(F.col("quality") == 1, "GOOD").otherwise("very-bad").alias("label"))
+    rows = docs.join(orders, "doc_id", "left").join(labels, "doc_id", "left")
+    twice = rows.unionByName(rows).repartition("doc_id")
+    twice.write.partitionBy("source").option("header", True).option("escape", '"').option(
+        "quoteAll", True).csv(f"{base}/in")
+    manifest = ingest(spark, f"{base}/in", f"{base}/out")
+    groups = [r.schema_group for r in manifest.where("status = 'success'")
+              .select("schema_group").distinct().collect()]
+    parts = [read_ingested(spark, f"{base}/out", g).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("date").cast("string").alias("date"),
+        "text", F.col("sentiment").cast("string").alias("sentiment")) for g in groups]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
+    "ingest_files": ingest_files,
     "alpha_news_records": alpha_news_records,
     "news_contract": news_contract,
     "prices_contract": prices_contract,
@@ -161,6 +191,15 @@ _STRIP = "trim(full_text, chr(10) || chr(9) || chr(13) || ' ')"
 _SYSTEM_SQL = "'" + chat.SYSTEM_PROMPT.replace("'", "''") + "'"
 
 ORACLES = {
+    "ingest_files": f"""
+WITH src AS (
+  SELECT d.doc_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date, text,
+         CASE quality WHEN 1 THEN 'Good' WHEN 0 THEN 'Very-Bad' END AS sentiment
+  FROM documents d LEFT JOIN orders ON d.doc_id = o_orderkey
+  LEFT JOIN labels l ON l.doc_id = d.doc_id)
+SELECT doc_id, date, {NORMALIZED_SQL} AS text, sentiment FROM src
+UNION ALL SELECT doc_id, date, {NORMALIZED_SQL} AS text, sentiment FROM src
+WHERE sentiment IS NULL""",
     "news_contract": f"""WITH {_NEWS}
 SELECT doc_id, url, strftime(event_date, '%Y-%m-%d') AS event_date, title, description, publisher
 FROM news""",

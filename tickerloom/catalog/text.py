@@ -78,14 +78,17 @@ def _unescape(expression: str) -> str:
 
 _ARTEFACT_SQL = "[ÂâÃã]"
 
+# The whole clean-up of a column called text.
+NORMALIZED_SQL = _collapse("lower(regexp_replace(" + _contract(
+    f"regexp_replace({_unescape(_NO_TAGS.format(c='text'))}, '{_ARTEFACT_SQL}', ' ', 'g')")
+    + ", '[^\\x00-\\x7F]', '', 'g'))")
+
 ORACLES = {
     "normalize_text": f"""
 WITH src AS (
   SELECT 'd' || doc_id AS row_key, text FROM documents
   UNION ALL SELECT 'c' || conv_id || '-' || turn, text FROM conversations)
-SELECT row_key, {_collapse("lower(regexp_replace(" + _contract(
-    f"regexp_replace({_unescape(_NO_TAGS.format(c='text'))}, '{_ARTEFACT_SQL}', ' ', 'g')")
-    + ", '[^\\x00-\\x7F]', '', 'g'))")} AS text
+SELECT row_key, {NORMALIZED_SQL} AS text
 FROM src""",
     "strip_html": f"""
 SELECT page_id, {_collapse(_unescape(_NO_TAGS.format(c='html')))} AS text FROM pages""",

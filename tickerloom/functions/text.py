@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -121,21 +120,21 @@ def needs_nfkc(c: Column) -> Column:
     return ~is_ascii(c) & non_ascii.rlike(_UNSTABLE)
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _per_batch(change: Callable[[str], str]):
+    """An Arrow-batched column function from a text function.
 
+    The inner function is local, so it is shipped by value and executors need
+    not have this package installed.
+    """
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(change, na_action="ignore")
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+    return F.pandas_udf(run, StringType())
 
 
-@F.pandas_udf(StringType())
-def _unescape_nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda t: unicodedata.normalize("NFKC", html.unescape(t)), na_action="ignore"
-    )
+_unescape = _per_batch(html.unescape)
+_nfkc = _per_batch(lambda t: unicodedata.normalize("NFKC", t))
+_unescape_nfkc = _per_batch(lambda t: unicodedata.normalize("NFKC", html.unescape(t)))
 
 
 def unescape_entities(c: Column) -> Column:

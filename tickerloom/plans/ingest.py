@@ -83,6 +83,8 @@ class Ingest:
                  file_rules: Mapping[str, FileRule] = FILE_RULES):
         self.spark, self.output = spark, output.rstrip("/")
         self.root = root.rstrip("/")
+        # Listed paths carry a scheme; what follows this text is relative to the root.
+        self.below = self.root.removeprefix("file:").lstrip("/") + "/"
         self.folder_rules, self.file_rules = folder_rules, file_rules
         self._written = 0
 
@@ -300,7 +302,8 @@ class Ingest:
 
     def _write(self, rows: DataFrame) -> int:
         group = self._written
-        inside = F.substring_index(F.col(PATH), self.root.removeprefix("file:").lstrip("/") + "/", -1)
+        path, below = F.col(PATH), F.lit(self.below)
+        inside = F.substr(path, F.instr(path, below) + F.length(below))
         placed = rows.withColumns({
             "schema_group": F.lit(group),
             "source_folder": F.when(inside.contains("/"), F.regexp_replace(
@@ -324,7 +327,7 @@ class Ingest:
         records = []
         for path in members:
             counts = decided[path][1]
-            inside = path.split(self.root.removeprefix("file:").lstrip("/") + "/")[-1]
+            inside = path.split(self.below, 1)[-1]
             folder, _, name = inside.rpartition("/")
             parsed = counts.get(f"{shape.date}__parsed") if shape.date else None
             present = counts.get(f"{shape.date}__non_null") if shape.date else None

@@ -58,17 +58,18 @@ def probe_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     ``head`` is the first non-empty line, ``sep`` the first candidate that
     splits it. Files are split as usual and each task sends one row per file.
     """
+    value, block = F.col("value"), F.col("_metadata.file_block_start")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    # Only first-split lines keep their text: the aggregate's rows stay narrow.
     lines = spark.read.text([glob_safe(p) for p in paths]).select(
-        "value", source_path().alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
+        source_path().alias("path"),
+        F.is_valid_utf8(value).alias("valid"), (quotes % 2 == 1).alias("odd"),
+        F.when((block == 0) & (value != ""), value).alias("line"),
         F.monotonically_increasing_id().alias("place"))
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    first = F.when((F.col("block") == 0) & (value != ""), F.col("place"))
+    first = F.when(F.col("line").isNotNull(), F.col("place"))
     per_file = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8(value)).alias("valid_utf8"),
-        F.bool_or(quotes % 2 == 1).alias("open_quotes"),
-        F.min_by(value, first).alias("head"))
+        F.bool_and("valid").alias("valid_utf8"), F.bool_or("odd").alias("open_quotes"),
+        F.min_by("line", first).alias("head"))
     head = F.when(F.col("valid_utf8"), F.col("head")).otherwise(
         F.decode(F.col("head").cast("binary"), "ISO-8859-1"))
     probed = per_file.withColumn("head", F.regexp_replace(head, "^\ufeff", ""))
