@@ -21,7 +21,10 @@ def incremental_label(spark: SparkSession, arriving: DataFrame, labelled_path: s
     ``arriving`` is a streaming frame with an ``input`` column.
     """
     def handle(batch: DataFrame, _: int) -> None:
-        labelled = readers.read_jsonl_lenient(batch.sparkSession, labelled_path, LABELLED_SCHEMA)
+        session = batch.sparkSession
+        # Off in streams by default; a stateless batch wants its skew handling.
+        session.conf.set("spark.sql.adaptive.enabled", "true")
+        labelled = readers.read_jsonl_lenient(session, labelled_path, LABELLED_SCHEMA)
         sinks.append_jsonl(label_pending(batch, labelled, labeller), labelled_path)
 
     return (arriving.writeStream.foreachBatch(handle)
