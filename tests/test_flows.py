@@ -53,8 +53,10 @@ def test_token_dataset_and_padding(spark):
         assert p.labels == r.input_ids + [-100] * gap
 
 
-def test_frequent_and_rare_tokens_get_one_id_each(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_frequent_and_rare_tokens_get_one_id_each(spark, monkeypatch, limit):
     monkeypatch.setattr(tokens, "FREQUENT", 2)
+    monkeypatch.setattr(tokens, "BROADCAST_BYTES", limit)
     df = spark.createDataFrame([(1, "a b a c " + "d" * 100), (2, "b a , x")], "id int, t string")
     rows = tokens.token_rows(df, ["id"], "t")
     vocab = tokens.vocabulary(rows)

@@ -61,8 +61,9 @@ CONTRACTIONS = {
 # ----------------------------------------------------------------------------
 
 # Unicode white space; Java's \s alone covers only part of it.
-SPACE = (r"[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
-         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+_NOT_BLANK = (r"\t-\r\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
+              r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+SPACE = f"[ {_NOT_BLANK}]"
 SPACE_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _WORD = r"[\p{L}\p{N}_]"
 
@@ -193,7 +194,11 @@ def ascii_only(c: Column) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+    """White-space runs to one blank, trimmed.
+
+    A lone blank is no match, so ordinary text is scanned without rewriting.
+    """
+    return F.trim(F.regexp_replace(c, f"[{_NOT_BLANK}]{SPACE}*| {SPACE}+", " "))
 
 
 def trim_ws(c: Column) -> Column:

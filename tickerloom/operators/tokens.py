@@ -23,6 +23,11 @@ TOKEN = r"(<\|im_start\|>|<\|im_end\|>|[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\r\f\x0b
 FREQUENT = 1024
 FREQUENT_CHARS = 64
 
+# Up to this many bytes, counting ROW_BYTES on top of each token, a vocabulary
+# is broadcast whole.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
+
 
 def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1))
@@ -42,16 +47,20 @@ def vocabulary(tokens: DataFrame) -> DataFrame:
 def with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """Token rows with their ids.
 
-    Common tokens make up most of any text and would be hot join keys. They are
-    matched by broadcast; only the rare rest is shuffled on the token.
+    A vocabulary whose measured size is small is broadcast whole. A larger one
+    is split: common tokens make up most of any text and would be hot join
+    keys, so they are matched by broadcast, and only the rare rest is shuffled
+    on the token.
     """
-    common = F.col("token_id") < FREQUENT
-    short = F.length("token") <= FREQUENT_CHARS
-    frequent = vocab.where(common & short).select("token", "token_id")
-    rest = vocab.where(~(common & short)).select("token", "token_id")
-    looked_up = tokens.join(F.broadcast(frequent), "token", "left")
+    vocab = vocab.select("token", "token_id")
+    size = vocab.agg(F.sum(F.octet_length("token") + ROW_BYTES).alias("bytes")).first()
+    if (size["bytes"] or 0) <= BROADCAST_BYTES:
+        return tokens.join(F.broadcast(vocab), "token")
+    common = (F.col("token_id") < FREQUENT) & (F.length("token") <= FREQUENT_CHARS)
+    looked_up = tokens.join(F.broadcast(vocab.where(common)), "token", "left")
     hits = looked_up.where("token_id is not null")
-    misses = looked_up.where("token_id is null").drop("token_id").join(rest, "token")
+    misses = looked_up.where("token_id is null").drop("token_id").join(
+        vocab.where(~common), "token")
     return hits.unionByName(misses)
 
 
