@@ -60,10 +60,10 @@ CONTRACTIONS = {
 }
 # ----------------------------------------------------------------------------
 
-# Unicode white space; Java's \s alone covers only part of it.
-_NOT_BLANK = (r"\t-\r\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
-              r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
-SPACE = f"[ {_NOT_BLANK}]"
+# Unicode white space beside the blank; Java's \s covers only part of it.
+_ASCII_SPACE = r"\t-\r\x1c-\x1f"
+_SPACE = (_ASCII_SPACE + r"\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
+          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 SPACE_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _WORD = r"[\p{L}\p{N}_]"
 
@@ -196,9 +196,12 @@ def ascii_only(c: Column) -> Column:
 def collapse_ws(c: Column) -> Column:
     """White-space runs to one blank, trimmed.
 
-    A lone blank is no match, so ordinary text is scanned without rewriting.
+    Other white space becomes blanks first (ASCII text is scanned with the much
+    cheaper ASCII class), then runs of blanks shrink.
     """
-    return F.trim(F.regexp_replace(c, f"[{_NOT_BLANK}]{SPACE}*| {SPACE}+", " "))
+    blanks = F.when(is_ascii(c), F.regexp_replace(c, f"[{_ASCII_SPACE}]", " ")).otherwise(
+        F.regexp_replace(c, f"[{_SPACE}]", " "))
+    return F.trim(F.regexp_replace(blanks, " {2,}", " "))
 
 
 def trim_ws(c: Column) -> Column:
@@ -237,5 +240,6 @@ def normalize_text(df: DataFrame, columns: Iterable[str],
     out = each(out, lambda c: strip_artefacts(c, repair_mojibake))
     out = each(out, expand_contractions)
     out = each(out, ascii_only)
-    out = each(out, lambda c: collapse_ws(F.lower(c)))
+    out = each(out, F.lower)
+    out = each(out, collapse_ws)
     return out.select(*[col(n) for n in order])

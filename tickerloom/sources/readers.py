@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from tickerloom.functions.naming import col
-from tickerloom.functions.text import SPACE
+from tickerloom.functions.text import trim_ws
 from tickerloom.operators.chat import MESSAGES_TYPE
 from tickerloom.sources.listing import glob_safe, source_path
 
@@ -136,7 +136,6 @@ def read_chat_dataset(spark: SparkSession, path: str) -> DataFrame:
 def read_checkpoint(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
     """The keys done so far, one per line."""
     def load() -> DataFrame:
-        line = F.regexp_replace("value", f"^{SPACE}+|{SPACE}+$", "")
-        return spark.read.text(path).select(line.alias(key)).distinct()
+        return spark.read.text(path).select(trim_ws(F.col("value")).alias(key)).distinct()
 
     return _or_empty(spark, load, f"{key} string")
