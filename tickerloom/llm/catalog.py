@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tickerloom.llm import bpe, minhash, packing, tokens
+from tickerloom.llm import bpe, gam, minhash, packing, quality_rules, sharding, tokens
 
-_MODULES = (tokens, packing, bpe, minhash)
+_MODULES = (quality_rules, tokens, packing, sharding, gam, bpe, minhash)
 
 
 def all_queries() -> dict:
