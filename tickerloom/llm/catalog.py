@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tickerloom.llm import bpe, gam, minhash, packing, quality_rules, sharding, tokens
+from tickerloom.llm import bpe, gam, minhash, packing, quality_rules, sharding, tokens, topk
 
-_MODULES = (quality_rules, tokens, packing, sharding, gam, bpe, minhash)
+_MODULES = (quality_rules, tokens, packing, sharding, topk, gam, bpe, minhash)
 
 
 def all_queries() -> dict:
