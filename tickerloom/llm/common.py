@@ -81,3 +81,13 @@ def arrow_schema(fields: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(fields)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder, and read again."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
