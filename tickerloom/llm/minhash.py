@@ -27,12 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickerloom.llm import shingles as sh
 from tickerloom.llm.common import arrow_ready, arrow_schema, map_texts, table, worker_memo
 from tickerloom.llm.components import components
 from tickerloom.llm.pieces import grouped
-from pyspark.sql.types import StructType
 
 A_KEYS, A_WIDTH, B_KEYS = 12, 2, 8
 SKETCH = 256
@@ -93,19 +93,26 @@ def features(df: DataFrame, id: str, text: str, k: int) -> DataFrame:
                      "text", FEATURES, rows, ["id"])
 
 
-def _may_link(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """For rows of sketches, which pairs (x row, y row) may have the similarity.
+def _may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray,
+              threshold: float) -> np.ndarray:
+    """For rows of sketches and set sizes, which pairs (x row, y row) may have the similarity.
 
-    A cell counts if either side has a value; five standard deviations below the
-    threshold still pass, so true links do not get lost here.
+    Sizes that differ by more than the threshold allows rule a pair out. A cell
+    counts if either side has a value; it shows whether the smallest element of
+    the union there is shared. The cells are drawn from the union without
+    replacement, which shrinks their deviation; five deviations and one cell
+    below the threshold still pass, so true links do not get lost here.
     """
     out = np.empty((len(x), len(y)), bool)
     filled = y > 0
     for i, one in enumerate(x):
         cells = (filled | (one > 0)).sum(axis=1)
         same = ((y == one) & filled).sum(axis=1)
-        slack = 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(cells, 1))
-        out[i] = same >= (threshold - slack) * cells
+        union = np.maximum((nx[i] + ny) / (1 + threshold), cells + 1)
+        slack = 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(cells, 1)
+                            * (union - cells) / (union - 1))
+        sizes = np.minimum(nx[i], ny) >= threshold * np.maximum(nx[i], ny) - 1e-9
+        out[i] = sizes & (same + 1 >= (threshold - slack) * cells)
     return out
 
 
@@ -113,7 +120,8 @@ def _block_pairs(exhaustive: bool, threshold: float):
     """Streams blocks sorted by bucket and gives candidate pairs (a, b) of ids."""
     def pairs_of(rows: dict, first: np.ndarray, second: np.ndarray):
         """Pairs of rows of ``first`` and ``second`` that pass all tests."""
-        ok = _may_link(rows["sketch"][first], rows["sketch"][second], threshold)
+        ok = _may_link(rows["sketch"][first], rows["n_shingles"][first],
+                       rows["sketch"][second], rows["n_shingles"][second], threshold)
         for n, i in enumerate(first):
             js = second[ok[n] & (rows["id"][second] != rows["id"][i])
                         & (rows["comp"][second] != rows["comp"][i])]
@@ -148,7 +156,7 @@ def _block_pairs(exhaustive: bool, threshold: float):
 
         def flush():
             rows = {name: np.array([h[name] for h in held])
-                    for name in ("id", "comp", "i", "a", "b", "side")}
+                    for name in ("id", "comp", "i", "a", "b", "side", "n_shingles")}
             rows["sketch"] = np.frombuffer(b"".join(h["sketch"] for h in held),
                                            np.uint8).reshape(len(held), -1)
             return sorted(set(group_pairs(rows)))
@@ -194,7 +202,7 @@ def candidate_pairs(sets: DataFrame, exhaustive: bool, threshold: float) -> Data
         placed = (placed.withColumn("side", F.lit(0))
                   .withColumn("bucket", F.xxhash64("i", "half", "block")))
     full = placed.select("bucket", "side", "i", "id", "comp").join(
-        sets.select("id", "a", "b", "sketch"), "id")
+        sets.select("id", "n_shingles", "a", "b", "sketch"), "id")
     schema = StructType.fromDDL("a long, b long")
     return (full.repartition("bucket").sortWithinPartitions("bucket", "id")
             .mapInArrow(_block_pairs(exhaustive, threshold), schema).distinct())
