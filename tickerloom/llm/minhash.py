@@ -9,9 +9,10 @@ missed with a probability below 1e-5.
 A bucket of equal A_i is split into blocks of bounded size by a hash of the id.
 First every set meets a few centres of its blocks; confirmed links are joined to
 components. Then, only in buckets that still hold several components, all pairs
-of blocks are compared by sketches inside tasks, and pairs of different
-components that may reach the threshold are confirmed on their full sets. So no
-group is gathered in one task and pairs within a component are never listed.
+of blocks are compared by sketches inside tasks; first the likeliest pair of each
+two components and at last every pair of different components that may reach the
+threshold is confirmed on the full sets. So no group is gathered in one task and
+pairs within a component are never listed.
 
 Defined results: a null text or one without words has no shingles and is linked
 with nothing; equal sets are one class, whatever their number; a row with a null
@@ -35,10 +36,10 @@ from tickerloom.llm.components import components
 from tickerloom.llm.pieces import grouped
 
 A_KEYS, A_WIDTH, B_KEYS = 12, 2, 8
-SKETCH = 256
+SKETCH_BITS = 9
 BLOCK = 256  # sets in a block of a bucket
 BLOCK_SHINGLES = 2_000_000
-FEATURES = "n_shingles long, set_hash binary, a array<long>, b array<long>, sketch binary"
+FEATURES = "n_shingles long, set_hash binary, a array<long>, halves binary, sketch binary"
 
 
 def _multipliers() -> np.ndarray:
@@ -47,10 +48,10 @@ def _multipliers() -> np.ndarray:
 
 
 def sketch_of(values: np.ndarray) -> bytes:
-    """One byte for each of 256 value ranges: 0 for none, else of the smallest value there."""
-    out = np.zeros(SKETCH, np.uint8)
+    """One byte for each of 512 value ranges: 0 for none, else of the smallest value there."""
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
     if len(values):
-        cells, first = np.unique(values >> np.uint64(56), return_index=True)
+        cells, first = np.unique(values >> np.uint64(64 - SKETCH_BITS), return_index=True)
         out[cells.astype(np.int64)] = 1 + values[first] % np.uint64(255)
     return out.tobytes()
 
@@ -62,7 +63,7 @@ def features(df: DataFrame, id: str, text: str, k: int) -> DataFrame:
         multipliers = _multipliers()
 
         def work(texts: list[str]) -> dict:
-            out: dict[str, list] = {n: [] for n in ("n_shingles", "set_hash", "a", "b", "sketch")}
+            out: dict[str, list] = {n: [] for n in ("n_shingles", "set_hash", "a", "halves", "sketch")}
             for some in grouped(texts, len):
                 sets = [np.unique(sh.shingle_hashes(hashes(sh.words_of(t)), k)) for t in some]
                 full = [s for s in sets if len(s)]
@@ -75,15 +76,16 @@ def features(df: DataFrame, id: str, text: str, k: int) -> DataFrame:
                         mixed ^= mixed >> np.uint64(32)
                         low[row] = np.minimum.reduceat(mixed, starts)
                 wide = A_KEYS * A_WIDTH
-                a = sh.scramble(low[0:wide:2] * sh._ODD + low[1:wide:2]).T.view(np.int64)
-                b = sh.scramble(low[wide:]).T.view(np.int64)
+                a = sh.scramble(low[0:wide:2] * sh._ODD + low[1:wide:2]).T.astype(np.int64)
+                b = sh.scramble(low[wide:]).T.astype(np.int64)
+                halves = np.hstack([a, b]).astype(np.int32)  # the low 32 bits of each
                 at = iter(range(len(full)))
                 for s in sets:
                     i = next(at) if len(s) else None
                     out["n_shingles"].append(len(s))
                     out["set_hash"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     out["a"].append([] if i is None else a[i].tolist())
-                    out["b"].append([] if i is None else b[i].tolist())
+                    out["halves"].append(b"" if i is None else halves[i].tobytes())
                     out["sketch"].append(sketch_of(s))
             return out
 
@@ -101,9 +103,10 @@ def _may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray,
     counts if either side has a value; it shows whether the smallest element of
     the union there is shared. The cells are drawn from the union without
     replacement, which shrinks their deviation; five deviations and one cell
-    below the threshold still pass, so true links do not get lost here.
+    below the threshold still pass, so true links do not get lost here. The
+    result is the share of equal cells, or -1 for a pair that is ruled out.
     """
-    out = np.empty((len(x), len(y)), bool)
+    out = np.empty((len(x), len(y)))
     filled = y > 0
     for i, one in enumerate(x):
         cells = (filled | (one > 0)).sum(axis=1)
@@ -112,26 +115,30 @@ def _may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray,
         slack = 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(cells, 1)
                             * (union - cells) / (union - 1))
         sizes = np.minimum(nx[i], ny) >= threshold * np.maximum(nx[i], ny) - 1e-9
-        out[i] = sizes & (same + 1 >= (threshold - slack) * cells)
+        out[i] = np.where(sizes & (same + 1 >= (threshold - slack) * cells),
+                          same / np.maximum(cells, 1), -1)
     return out
 
 
-def _block_pairs(exhaustive: bool, threshold: float):
+CENTRES, BEST, ALL = "centres", "best", "all"
+
+
+def _block_pairs(mode: str, threshold: float):
     """Streams blocks sorted by bucket and gives candidate pairs (a, b) of ids."""
+    exhaustive = mode != CENTRES
+
     def pairs_of(rows: dict, first: np.ndarray, second: np.ndarray):
         """Pairs of rows of ``first`` and ``second`` that pass all tests."""
         ok = _may_link(rows["sketch"][first], rows["n_shingles"][first],
                        rows["sketch"][second], rows["n_shingles"][second], threshold)
         for n, i in enumerate(first):
-            js = second[ok[n] & (rows["id"][second] != rows["id"][i])
-                        & (rows["comp"][second] != rows["comp"][i])]
-            js = js[(rows["b"][js] == rows["b"][i]).any(axis=1)]
-            if exhaustive:  # only where the pair meets first, and in one order
-                at = (rows["a"][js] == rows["a"][i]).argmax(axis=1)
-                js = js[at == rows["i"][i]]
-            for j in js:
-                a, b = rows["id"][i], rows["id"][j]
-                yield (a, b) if a < b else (b, a)
+            near = (ok[n] >= 0) & (rows["comp"][second] != rows["comp"][i])
+            js, shares = second[near], ok[n][near]
+            tables = (rows["b"][js] == rows["b"][i]).any(axis=1)
+            if exhaustive:  # only where the pair meets first
+                tables &= (rows["a"][js] == rows["a"][i]).argmax(axis=1) == rows["i"][i]
+            for j, share in zip(js[tables], shares[tables]):
+                yield (i, j, share) if rows["id"][i] < rows["id"][j] else (j, i, share)
 
     def group_pairs(rows: dict):
         if exhaustive:
@@ -156,10 +163,20 @@ def _block_pairs(exhaustive: bool, threshold: float):
 
         def flush():
             rows = {name: np.array([h[name] for h in held])
-                    for name in ("id", "comp", "i", "a", "b", "side", "n_shingles")}
+                    for name in ("id", "comp", "i", "side", "n_shingles")}
+            halves = np.frombuffer(b"".join(h["halves"] for h in held),
+                                   np.int32).reshape(len(held), -1)
+            rows["a"], rows["b"] = halves[:, :A_KEYS], halves[:, A_KEYS:]
             rows["sketch"] = np.frombuffer(b"".join(h["sketch"] for h in held),
                                            np.uint8).reshape(len(held), -1)
-            return sorted(set(group_pairs(rows)))
+            pairs = list(group_pairs(rows))
+            if mode == BEST:  # of each two components the likeliest pair
+                top: dict = {}
+                for i, j, share in pairs:
+                    ends = tuple(sorted((rows["comp"][i], rows["comp"][j])))
+                    top[ends] = max(top.get(ends, (0.0, 0, 0)), (share, i, j))
+                pairs = [(i, j, share) for share, i, j in top.values()]
+            return sorted({(rows["id"][i], rows["id"][j]) for i, j, _ in pairs})
 
         found: list[tuple] = []
         for batch in batches:
@@ -182,8 +199,12 @@ def _block_pairs(exhaustive: bool, threshold: float):
     return run
 
 
-def candidate_pairs(sets: DataFrame, exhaustive: bool, threshold: float) -> DataFrame:
-    """Distinct candidate pairs of ids among ``sets`` (features and ``comp``)."""
+def candidate_pairs(sets: DataFrame, mode: str, threshold: float) -> DataFrame:
+    """Distinct candidate pairs of ids among ``sets`` (features and ``comp``).
+
+    ``mode`` is CENTRES (with a centre of the block), BEST (of all pairs the
+    likeliest for each two components of two blocks) or ALL.
+    """
     places = sets.select("id", "comp", "n_shingles", F.posexplode("a").alias("i", "half"))
     buckets = places.groupBy("i", "half").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("total"),
@@ -193,7 +214,7 @@ def candidate_pairs(sets: DataFrame, exhaustive: bool, threshold: float) -> Data
         .alias("blocks"))
     placed = (places.drop("n_shingles").join(buckets, ["i", "half"])
               .withColumn("block", F.expr("int(pmod(xxhash64(id, half), blocks))")))
-    if exhaustive:  # a row goes to every pair of blocks that its block is in
+    if mode != CENTRES:  # a row goes to every pair of blocks that its block is in
         placed = (placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
                   .withColumn("side", F.expr("int(block > other)"))
                   .withColumn("bucket", F.xxhash64("i", "half", F.least("block", "other"),
@@ -202,10 +223,10 @@ def candidate_pairs(sets: DataFrame, exhaustive: bool, threshold: float) -> Data
         placed = (placed.withColumn("side", F.lit(0))
                   .withColumn("bucket", F.xxhash64("i", "half", "block")))
     full = placed.select("bucket", "side", "i", "id", "comp").join(
-        sets.select("id", "n_shingles", "a", "b", "sketch"), "id")
+        sets.select("id", "n_shingles", "halves", "sketch"), "id")
     schema = StructType.fromDDL("a long, b long")
     return (full.repartition("bucket").sortWithinPartitions("bucket", "id")
-            .mapInArrow(_block_pairs(exhaustive, threshold), schema).distinct())
+            .mapInArrow(_block_pairs(mode, threshold), schema).distinct())
 
 
 def shingle_sets(df: DataFrame, id: str, text: str, k: int) -> DataFrame:
@@ -281,17 +302,18 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: in
     full = found.where("n_shingles > 0 and id is not null")
     classes = full.groupBy("set_hash").agg(F.min("id").alias("rep"))
     sets = (full.join(classes, (full.set_hash == classes.set_hash) & (full.id == classes.rep))
-            .select("id", "n_shingles", "a", "b", "sketch").dropDuplicates(["id"])
+            .select("id", "n_shingles", "a", "halves", "sketch").dropDuplicates(["id"])
             .withColumn("comp", F.col("id")).checkpoint())
     texts = df.where(F.col(id).isNotNull())
-    links = confirm(candidate_pairs(sets, False, threshold).checkpoint(),
-                    texts, id, text, k, threshold).checkpoint()
-    labels = components(links)
-    merged = (sets.drop("comp").join(labels, "id", "left")
-              .withColumn("comp", F.coalesce("component", "id")).drop("component"))
-    more = confirm(candidate_pairs(merged, True, threshold).checkpoint(),
-                   texts, id, text, k, threshold).checkpoint()
-    labels = components(links.unionByName(more))
+    links, labels = None, None
+    for mode in (CENTRES, BEST, ALL):
+        if labels is not None:
+            sets = (sets.drop("comp").join(labels, "id", "left")
+                    .withColumn("comp", F.coalesce("component", "id")).drop("component"))
+        more = confirm(candidate_pairs(sets, mode, threshold).checkpoint(), texts, id, text, k,
+                       threshold).checkpoint()
+        links = more if links is None else links.unionByName(more)
+        labels = components(links)
     reps = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_hash", F.coalesce("component", "rep").alias("component"))
     component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component"))
