@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tickerloom.llm import bpe, gam, minhash, packing, passages, quality_rules, sharding, tokens, topk
+from tickerloom.llm import (
+    bpe, crf, gam, minhash, packing, passages, quality_rules, sharding, tokens, topk,
+)
 
-_MODULES = (quality_rules, tokens, packing, sharding, topk, gam, bpe, minhash,
+_MODULES = (quality_rules, tokens, packing, sharding, crf, topk, gam, bpe, minhash,
             passages)
 
 
