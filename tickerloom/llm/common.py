@@ -77,10 +77,11 @@ def map_texts(df: DataFrame, text: str, ddl: str,
     return narrow.mapInArrow(run, schema)
 
 
-def arrow_schema(fields: StructType) -> pa.Schema:
+def arrow_schema(fields: StructType | str) -> pa.Schema:
+    """The Arrow schema of Spark fields; one given as DDL needs a session, so not in tasks."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(fields)
+    return to_arrow_schema(StructType.fromDDL(fields) if isinstance(fields, str) else fields)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -91,3 +92,17 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Ids that may be broadcast: about 32 MB as a hash table.
+BROADCAST_IDS = 1_000_000
+
+
+def rows_of(df: DataFrame, ids: DataFrame, id: str) -> DataFrame:
+    """Rows of ``df`` whose ``id`` is among ``ids`` (one column of that name, checkpointed).
+
+    The ids are counted; few enough are broadcast, so wide rows are not shuffled,
+    and more are joined by a shuffle.
+    """
+    few = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, id, "left_semi")
