@@ -28,10 +28,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tickerloom.llm import shingles as sh
-from tickerloom.llm.common import arrow_ready, arrow_schema, map_texts, table, worker_memo
+from tickerloom.llm.common import arrow_ready, map_texts, rows_of, table, worker_memo
 from tickerloom.llm.components import components
 from tickerloom.llm.pieces import grouped
 
@@ -224,9 +223,8 @@ def candidate_pairs(sets: DataFrame, mode: str, threshold: float) -> DataFrame:
                   .withColumn("bucket", F.xxhash64("i", "half", "block")))
     full = placed.select("bucket", "side", "i", "id", "comp").join(
         sets.select("id", "n_shingles", "halves", "sketch"), "id")
-    schema = StructType.fromDDL("a long, b long")
     return (full.repartition("bucket").sortWithinPartitions("bucket", "id")
-            .mapInArrow(_block_pairs(mode, threshold), schema).distinct())
+            .mapInArrow(_block_pairs(mode, threshold), "a long, b long").distinct())
 
 
 def shingle_sets(df: DataFrame, id: str, text: str, k: int) -> DataFrame:
@@ -250,9 +248,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, id: str, text: str, k: int,
     percent = round(100 * threshold)
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     fame = ends.groupBy("id").agg(F.count("*").alias("fame")).checkpoint()
-    sets = shingle_sets(
-        texts.join(fame.select(F.col("id").alias(id)), id, "left_semi").dropDuplicates([id]),
-        id, text, k).checkpoint()
+    sets = (shingle_sets(rows_of(texts, fame.select(F.col("id").alias(id)), id), id, text, k)
+            .groupBy("id").agg(F.min("packed").alias("packed")).checkpoint())
     turned = (pairs.join(fame.select(F.col("id").alias("a"), F.col("fame").alias("fa")), "a")
               .join(fame.select(F.col("id").alias("b"), F.col("fame").alias("fb")), "b")
               .select(F.expr("if(fa > fb, a, b)").alias("hub"),
@@ -287,7 +284,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, id: str, text: str, k: int,
 
     return (partners.unionByName(hubs).repartition("hub", "salt")
             .sortWithinPartitions("hub", "salt", "kind", "id")
-            .mapInArrow(run, StructType.fromDDL("a long, b long")))
+            .mapInArrow(run, "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5,
