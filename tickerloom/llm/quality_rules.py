@@ -3,9 +3,12 @@
 Everything runs in built-in column functions. Lines are normalised (lower case,
 runs of white space as one space, trimmed) and hashed. For every host and line
 the distinct documents are counted by what else they hold: a document stands
-under the smallest hash among its other lines, so copies and near copies of one
-document count once and do not make their own lines look like boilerplate. Lines
-over the limit are removed, and a document is rejected if too few words remain.
+under one of its other lines, that with the smallest hash divided by its number of
+words, so copies and near copies mostly stand under the same. A line is over the
+limit if it stands in more than ``MAX_DOCUMENTS`` documents that differ so, and
+these are at least half of the distinct texts that hold it; the lines of a much
+copied document are thus not taken for boilerplate. Lines over the limit are
+removed, and a document is rejected if too few words remain.
 
 Defined results: a null text has no words and fails the base rules; a null host
 is a host of its own; repeated rows come back repeated; input columns named like
@@ -61,6 +64,7 @@ def base_measures(df: DataFrame, text: str, keep: Iterable[str]) -> DataFrame:
         "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         "__lines": F.transform("__lines", lambda x: F.struct(
             line_hash(x).alias("line"), F.size(words(x)).alias("words"))),
+        "__digest": F.unhex(F.md5("__text")),
         "__hashes": F.transform("__words", lambda w: F.xxhash64(w))}).drop("__text", "__words")
     df = df.withColumn("__windows", F.expr(
         "if(n_words < 3, array(), transform(sequence(0, size(__hashes) - 3), i -> "
@@ -80,31 +84,37 @@ def base_measures(df: DataFrame, text: str, keep: Iterable[str]) -> DataFrame:
         "n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
 
 
-def frequent_lines(lines: DataFrame, max_documents: int) -> DataFrame:
-    """(host, line) of lines in more than ``max_documents`` documents of the host."""
-    return (lines.select("host", "line", "stands").distinct()
-            .groupBy("host", "line").agg(F.count("*").alias("n_documents"))
-            .where(F.col("n_documents") > max_documents).select("host", "line"))
+def frequent_lines(base: DataFrame, max_documents: int) -> DataFrame:
+    """(host, line) of lines in more than ``max_documents`` differing documents of the host."""
+    lines = (base.dropDuplicates(["__host", "__digest"])
+             .withColumn("__lines", F.array_distinct("__lines"))
+             .withColumn("low", F.slice(F.array_sort(F.transform("__lines", lambda x: F.struct(
+                 (x.line / x.words).alias("rank"), x.line.alias("line")))), 1, 2))
+             .select(F.col("__host").alias("host"), "low", F.explode("__lines").alias("one"))
+             .select("host", F.col("one.line").alias("line"), F.expr(
+                 "if(one.line = low[0].line, coalesce(get(low, 1).line, low[0].line), "
+                 "low[0].line)").alias("stands")))
+    return (lines.groupBy("host", "line", "stands").agg(F.count("*").alias("n_texts"))
+            .groupBy("host", "line").agg(F.count("*").alias("n_documents"),
+                                         F.sum("n_texts").alias("n_texts"))
+            .where((F.col("n_documents") > max_documents)
+                   & (2 * F.col("n_documents") >= F.col("n_texts"))).select("host", "line"))
 
 
 def measured(df: DataFrame, text: str, host: str, keep: Iterable[str],
              max_documents: int, least_percent: int) -> tuple[DataFrame, DataFrame]:
     """Verdicts by row id, and (row id, line) of the lines over the limit."""
     arrow_ready(df.sparkSession)
-    keep = list(dict.fromkeys([*keep, host]))
-    base = (base_measures(df, text, keep).withColumn("__row", F.monotonically_increasing_id())
+    df = df.withColumn("__host", F.coalesce(F.col(f"`{host}`"), F.lit("\0")))
+    base = (base_measures(df, text, [*keep, "__host"]).withColumn("__row", F.monotonically_increasing_id())
             .checkpoint())
-    lines = (base.where(F.size("__lines") > 0)
-             .select("__row", F.coalesce(F.col(f"`{host}`"), F.lit("\0")).alias("host"),
-                     F.sort_array(F.array_distinct(F.col("__lines.line"))).alias("low"),
-                     F.explode("__lines").alias("one"))
+    lines = (base.select("__row", F.col("__host").alias("host"), F.explode("__lines").alias("one"))
              .select("__row", "host", F.col("one.line").alias("line"),
-                     F.col("one.words").alias("words"),
-                     F.expr("if(one.line = low[0], coalesce(get(low, 1), low[0]), low[0])")
-                     .alias("stands")))
-    over = lines.join(frequent_lines(lines, max_documents), ["host", "line"])
+                     F.col("one.words").alias("words")))
+    over = lines.join(frequent_lines(base.select("__host", "__digest", "__lines"),
+                                     max_documents), ["host", "line"])
     removed = over.groupBy("__row").agg(F.sum("words").cast("long").alias("removed"))
-    verdicts = (base.drop("__lines").join(removed, "__row", "left")
+    verdicts = (base.drop("__lines", "__host", "__digest").join(removed, "__row", "left")
                 .withColumn("n_removed_words", F.coalesce("removed", F.lit(0).cast("long")))
                 .drop("removed")
                 .withColumn("kept", F.expr(
@@ -171,14 +181,20 @@ lines AS (
          ('0x' || substr(md5(trim(lower(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g')))), 1, 15))
          ::BIGINT AS line
   FROM (SELECT r, host, unnest(ls) AS x FROM parts)),
+once AS (
+  SELECT DISTINCT host, t, line, n FROM (SELECT r, host, line, n FROM lines)
+  JOIN (SELECT r, t FROM docs) USING (r)),
 low AS (
-  SELECT r, list_sort(list_distinct(list(line))) AS low FROM lines GROUP BY r),
+  SELECT host, t, list_sort(list({{'rank': line / n, 'line': line}})) AS low
+  FROM once GROUP BY host, t),
 frequent AS (
   SELECT host, line FROM (
-    SELECT DISTINCT host, line,
-           CASE WHEN line = low[1] THEN coalesce(low[2], low[1]) ELSE low[1] END AS stands
-    FROM lines JOIN low USING (r))
-  GROUP BY host, line HAVING count(*) > {MAX_DOCUMENTS}),
+    SELECT host, line, stands, count(*) AS n_texts FROM (
+      SELECT host, line, CASE WHEN line = low[1].line THEN coalesce(low[2].line, low[1].line)
+                         ELSE low[1].line END AS stands
+      FROM once JOIN low USING (host, t))
+    GROUP BY host, line, stands)
+  GROUP BY host, line HAVING count(*) > {MAX_DOCUMENTS} AND 2 * count(*) >= sum(n_texts)),
 removed AS (
   SELECT r, sum(n)::BIGINT AS removed FROM lines JOIN frequent USING (host, line) GROUP BY r),
 counts AS (
