@@ -26,7 +26,6 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tickerloom.llm.common import arrow_ready, arrow_schema, table
 
@@ -88,35 +87,38 @@ def _vectors(column) -> np.ndarray:
     return np.array(rows, np.int64).reshape(len(rows), -1)
 
 
-def _batch(schema: StructType, **columns):
+def _batch(arrow, **columns):
     import pyarrow as pa
 
-    arrow = arrow_schema(schema)
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in arrow], names=arrow.names)
 
 
-PLACED = StructType.fromDDL("id long, v array<long>, cell int, distance double")
+PLACED = "id long, v array<long>, cell int, distance double"
 
 
 def _place(index: Index):
     """Each vector's cell (pivot and annulus) and distance to the pivot."""
+    arrow = arrow_schema(PLACED)
+
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             if batch.num_rows:
                 pivot, distance = index.nearest(index.lift(_vectors(batch.column(1))))
-                yield _batch(PLACED, id=batch.column(0).to_pylist(),
+                yield _batch(arrow, id=batch.column(0).to_pylist(),
                              v=batch.column(1).to_pylist(),
                              cell=pivot * RINGS + index.ring(pivot, distance), distance=distance)
 
     return run
 
 
-SENT = StructType.fromDDL("id long, v array<long>, bound long, cells array<int>")
+SENT = "id long, v array<long>, bound long, cells array<int>"
 
 
 def _home(index: Index, filled: np.ndarray):
     """The cell where a query looks first: the filled one nearest by annulus."""
+    arrow = arrow_schema(SENT)
+
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             if batch.num_rows:
@@ -126,7 +128,7 @@ def _home(index: Index, filled: np.ndarray):
                 own = distances[:, (filled[:, 0] // RINGS).astype(int)]
                 gap = np.maximum(np.maximum(low - own, own - high), 0) + own * 1e-3
                 best = filled[gap.argmin(1), 0].astype(int)
-                yield _batch(SENT, id=batch.column(0).to_pylist(),
+                yield _batch(arrow, id=batch.column(0).to_pylist(),
                              v=batch.column(1).to_pylist(),
                              bound=[None] * len(q), cells=[[int(c)] for c in best])
 
@@ -135,6 +137,8 @@ def _home(index: Index, filled: np.ndarray):
 
 def _reach(index: Index, filled: np.ndarray):
     """The cells that may hold something as near as a query's bound, but for its home."""
+    arrow = arrow_schema(SENT)
+
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             if not batch.num_rows:
@@ -148,7 +152,7 @@ def _reach(index: Index, filled: np.ndarray):
             far = _far(index, q, bounds)
             cells = [[int(c) for c in filled[gap[i] <= far[i], 0] if c != home[i][0]]
                      for i in range(len(q))]
-            yield _batch(SENT, id=batch.column(0).to_pylist(), v=v.tolist(), bound=bounds,
+            yield _batch(arrow, id=batch.column(0).to_pylist(), v=v.tolist(), bound=bounds,
                          cells=cells)
 
     return run
@@ -161,11 +165,13 @@ def _far(index: Index, q: np.ndarray, bounds: list) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0) * (1 + _SLACK) + _SLACK * (index.radius2 + 1))
 
 
-FOUND = StructType.fromDDL("query_id long, vec_id long, score long")
+FOUND = "query_id long, vec_id long, score long"
 
 
 def _search(index: Index, k: int):
     """Streams blocks: first a block's vectors, by distance, then the queries sent to it."""
+    arrow = arrow_schema(FOUND)
+
     def block_hits(pivot: int, ids, v, distance, queries: list):
         for start in range(0, len(queries), 512):
             part = queries[start:start + 512]
@@ -208,7 +214,7 @@ def _search(index: Index, k: int):
                 v = np.array([r["v"] for r in vectors], np.int64)
                 distance = np.array([r["distance"] for r in vectors])
                 for q, x, s in block_hits(key[0] // RINGS, ids, v, distance, queries):
-                    yield _batch(FOUND, query_id=q, vec_id=x, score=s)
+                    yield _batch(arrow, query_id=q, vec_id=x, score=s)
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -259,6 +265,8 @@ def top_k(df: DataFrame, query: Column, id: str = "vec_id", vector: str = "embed
         F.desc("count"), "width").limit(1).collect()
     if widths:
         whole = whole.where(F.size("v") == widths[0]["width"])
+    else:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
     radius2 = whole.agg(F.max(norm)).first()[0] or 0
     sample = whole.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
@@ -267,7 +275,7 @@ def top_k(df: DataFrame, query: Column, id: str = "vec_id", vector: str = "embed
     cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("distance").alias("low"),
                                        F.max("distance").alias("high")).collect()
     filled = np.array([(r["cell"], r["low"], r["high"]) for r in cells]).reshape(-1, 3)
-    blocks = spark.createDataFrame([(r["cell"], -(-r["n"] // BLOCK)) for r in cells] or [(0, 1)],
+    blocks = spark.createDataFrame([(r["cell"], -(-r["n"] // BLOCK)) for r in cells],
                                    "cell int, blocks int")
     vectors = (placed.join(F.broadcast(blocks), "cell")
                .select("cell", F.expr("int(pmod(xxhash64(id), blocks))").alias("block"),
@@ -285,8 +293,6 @@ def top_k(df: DataFrame, query: Column, id: str = "vec_id", vector: str = "embed
 
     asked = whole.where(query).select("id", "v")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    if not cells:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     first = asked.mapInArrow(_home(index, filled), SENT).checkpoint()
     near = (search(first).withColumn("rank", F.row_number().over(best))
             .where(F.col("rank") <= k).drop("rank").checkpoint())
