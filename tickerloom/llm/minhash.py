@@ -9,10 +9,9 @@ missed with a probability below 1e-5.
 A bucket of equal A_i is split into blocks of bounded size by a hash of the id.
 First every set meets a few centres of its blocks; confirmed links are joined to
 components. Then, only in buckets that still hold several components, all pairs
-of blocks are compared by sketches inside tasks; first the likeliest pair of each
-two components and at last every pair of different components that may reach the
-threshold is confirmed on the full sets. So no group is gathered in one task and
-pairs within a component are never listed.
+of blocks are compared by sketches inside tasks, and pairs of different
+components that may reach the threshold are confirmed on their full sets. So no
+group is gathered in one task and pairs within a component are never listed.
 
 Defined results: a null text or one without words has no shingles and is linked
 with nothing; equal sets are one class, whatever their number; a row with a null
@@ -102,10 +101,9 @@ def _may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray,
     counts if either side has a value; it shows whether the smallest element of
     the union there is shared. The cells are drawn from the union without
     replacement, which shrinks their deviation; five deviations and one cell
-    below the threshold still pass, so true links do not get lost here. The
-    result is the share of equal cells, or -1 for a pair that is ruled out.
+    below the threshold still pass, so true links do not get lost here.
     """
-    out = np.empty((len(x), len(y)))
+    out = np.empty((len(x), len(y)), bool)
     filled = y > 0
     for i, one in enumerate(x):
         cells = (filled | (one > 0)).sum(axis=1)
@@ -114,30 +112,23 @@ def _may_link(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray,
         slack = 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(cells, 1)
                             * (union - cells) / (union - 1))
         sizes = np.minimum(nx[i], ny) >= threshold * np.maximum(nx[i], ny) - 1e-9
-        out[i] = np.where(sizes & (same + 1 >= (threshold - slack) * cells),
-                          same / np.maximum(cells, 1), -1)
+        out[i] = sizes & (same + 1 >= (threshold - slack) * cells)
     return out
 
 
-CENTRES, BEST, ALL = "centres", "best", "all"
-
-
-def _block_pairs(mode: str, threshold: float):
+def _block_pairs(exhaustive: bool, threshold: float):
     """Streams blocks sorted by bucket and gives candidate pairs (a, b) of ids."""
-    exhaustive = mode != CENTRES
-
     def pairs_of(rows: dict, first: np.ndarray, second: np.ndarray):
         """Pairs of rows of ``first`` and ``second`` that pass all tests."""
         ok = _may_link(rows["sketch"][first], rows["n_shingles"][first],
                        rows["sketch"][second], rows["n_shingles"][second], threshold)
         for n, i in enumerate(first):
-            near = (ok[n] >= 0) & (rows["comp"][second] != rows["comp"][i])
-            js, shares = second[near], ok[n][near]
+            js = second[ok[n] & (rows["comp"][second] != rows["comp"][i])]
             tables = (rows["b"][js] == rows["b"][i]).any(axis=1)
             if exhaustive:  # only where the pair meets first
                 tables &= (rows["a"][js] == rows["a"][i]).argmax(axis=1) == rows["i"][i]
-            for j, share in zip(js[tables], shares[tables]):
-                yield (i, j, share) if rows["id"][i] < rows["id"][j] else (j, i, share)
+            for j in js[tables]:
+                yield (i, j) if rows["id"][i] < rows["id"][j] else (j, i)
 
     def group_pairs(rows: dict):
         if exhaustive:
@@ -169,13 +160,7 @@ def _block_pairs(mode: str, threshold: float):
             rows["sketch"] = np.frombuffer(b"".join(h["sketch"] for h in held),
                                            np.uint8).reshape(len(held), -1)
             pairs = list(group_pairs(rows))
-            if mode == BEST:  # of each two components the likeliest pair
-                top: dict = {}
-                for i, j, share in pairs:
-                    ends = tuple(sorted((rows["comp"][i], rows["comp"][j])))
-                    top[ends] = max(top.get(ends, (0.0, 0, 0)), (share, i, j))
-                pairs = [(i, j, share) for share, i, j in top.values()]
-            return sorted({(rows["id"][i], rows["id"][j]) for i, j, _ in pairs})
+            return sorted({(rows["id"][i], rows["id"][j]) for i, j in pairs})
 
         found: list[tuple] = []
         for batch in batches:
@@ -198,11 +183,10 @@ def _block_pairs(mode: str, threshold: float):
     return run
 
 
-def candidate_pairs(sets: DataFrame, mode: str, threshold: float) -> DataFrame:
+def candidate_pairs(sets: DataFrame, exhaustive: bool, threshold: float) -> DataFrame:
     """Distinct candidate pairs of ids among ``sets`` (features and ``comp``).
 
-    ``mode`` is CENTRES (with a centre of the block), BEST (of all pairs the
-    likeliest for each two components of two blocks) or ALL.
+    Pairs with the centres of blocks or, if ``exhaustive``, all in two blocks.
     """
     places = sets.select("id", "comp", "n_shingles", F.posexplode("a").alias("i", "half"))
     buckets = places.groupBy("i", "half").agg(
@@ -213,7 +197,7 @@ def candidate_pairs(sets: DataFrame, mode: str, threshold: float) -> DataFrame:
         .alias("blocks"))
     placed = (places.drop("n_shingles").join(buckets, ["i", "half"])
               .withColumn("block", F.expr("int(pmod(xxhash64(id, half), blocks))")))
-    if mode != CENTRES:  # a row goes to every pair of blocks that its block is in
+    if exhaustive:  # a row goes to every pair of blocks that its block is in
         placed = (placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
                   .withColumn("side", F.expr("int(block > other)"))
                   .withColumn("bucket", F.xxhash64("i", "half", F.least("block", "other"),
@@ -224,7 +208,7 @@ def candidate_pairs(sets: DataFrame, mode: str, threshold: float) -> DataFrame:
     full = placed.select("bucket", "side", "i", "id", "comp").join(
         sets.select("id", "n_shingles", "halves", "sketch"), "id")
     return (full.repartition("bucket").sortWithinPartitions("bucket", "id")
-            .mapInArrow(_block_pairs(mode, threshold), "a long, b long").distinct())
+            .mapInArrow(_block_pairs(exhaustive, threshold), "a long, b long").distinct())
 
 
 def shingle_sets(df: DataFrame, id: str, text: str, k: int) -> DataFrame:
@@ -303,11 +287,11 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: in
             .withColumn("comp", F.col("id")).checkpoint())
     texts = df.where(F.col(id).isNotNull())
     links, labels = None, None
-    for mode in (CENTRES, BEST, ALL):
+    for exhaustive in (False, True):
         if labels is not None:
             sets = (sets.drop("comp").join(labels, "id", "left")
                     .withColumn("comp", F.coalesce("component", "id")).drop("component"))
-        more = confirm(candidate_pairs(sets, mode, threshold).checkpoint(), texts, id, text, k,
+        more = confirm(candidate_pairs(sets, exhaustive, threshold).checkpoint(), texts, id, text, k,
                        threshold).checkpoint()
         links = more if links is None else links.unionByName(more)
         labels = components(links)
