@@ -70,7 +70,9 @@ def test_prompt_and_render(spark):
     df = spark.createDataFrame([("x" * 15001, "out")], "input string, output string")
     prompt = chat.build_prompts(df).first().messages
     assert prompt[0].content == chat.SYSTEM_PROMPT
-    assert prompt[1].content == "Analyze this text:\n\n" + "x" * 15000
+    assert prompt[1].content == "Analyze this text:\n\n" + "x" * 15001
+    cut = chat.build_prompts(df, max_chars=15000).first().messages
+    assert cut[1].content == "Analyze this text:\n\n" + "x" * 15000
     text = chat.to_chat_messages(df).select(chat.render_chat(F.col("messages"))).first()[0]
     assert text.startswith("<|im_start|>system\nYou are") and text.endswith(
         "<|im_start|>assistant\nout<|im_end|>\n")

@@ -50,7 +50,7 @@ def test_first_seen_keeps_the_first_even_if_it_fails_later(spark):
     df = spark.createDataFrame([("T", "u", 0, 1, None), ("T", "u", 1, 1, "2020-01-01"),
                                 ("S", "u", 1, 1, "2020-01-01")],
                                "ticker string, url string, kw_idx int, rank int, d string")
-    first = ranking.first_seen(df, ["ticker", "url"], [F.asc("kw_idx"), F.asc("rank")])
+    first = ranking.first_seen(df, ["ticker", "url"], ["kw_idx", "rank"])
     kept = filters.valid_news(first, "url", "d").collect()
     assert [r.ticker for r in kept] == ["S"]
 

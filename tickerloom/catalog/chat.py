@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.catalog.labels import BLOCK_SQL, block_text
-from tickerloom.catalog.tables import spread_table, table
+from tickerloom.catalog.tables import table
 from tickerloom.operators import chat as C
 from tickerloom.operators import filters
 from tickerloom.operators import tokens as T
 from tickerloom.plans.token_set import token_dataset
 
-KEYS = ["conv_id", "turn"]
+KEYS = ["conv_id"]
 
 
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,13 +23,13 @@ def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
                           F.get("messages", F.lit(1))["content"].alias("prompt"))
 
 
-def turn_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """A user turn and the assistant turn right after it, joined on their key."""
-    turns = spread_table(spark, sf, "conversations", "conv_id", "turn")
-    asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("input"))
-    told = turns.where("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
-    return asked.join(told, KEYS)
+def conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation with all its turns, of any role, in order."""
+    turns = table(spark, sf, "conversations").where("role is not null and text is not null")
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    return turns.groupBy("conv_id").agg(ordered.alias("turns")).select(
+        "conv_id", F.transform("turns", lambda t: F.struct(
+            t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
 
 
 def chat_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,7 +42,7 @@ def chat_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conversation_chats(spark: SparkSession, sf: str) -> DataFrame:
-    return C.to_chat_messages(turn_pairs(spark, sf)).select(
+    return conversations(spark, sf).select(
         *KEYS, C.render_chat(F.col("messages")).alias("text"))
 
 
@@ -61,8 +61,7 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The token data set of the conversations."""
-    chats = C.to_chat_messages(turn_pairs(spark, sf))
-    return token_dataset(chats, KEYS).select(
+    return token_dataset(conversations(spark, sf), KEYS).select(
         *KEYS, "chunk_no", F.size("input_ids").alias("n_ids"),
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
         F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"))
@@ -70,7 +69,7 @@ def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, most of them several slices long."""
-    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     tokens = T.token_rows(docs, ["doc_id"], "text")
     chunks = T.encode_chunks(tokens, T.vocabulary(tokens), ["doc_id"])
     return chunks.select("doc_id", "chunk_no", F.size("input_ids").alias("n_ids"),
@@ -79,7 +78,8 @@ def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
     keys = [*KEYS, "chunk_no"]
-    return T.pad_batches(_chunks(spark, sf), keys).select(
+    sizes = T.chunk_sizes(conversation_chats(spark, sf), KEYS, "text")
+    return T.pad_batches(_chunks(spark, sf), keys, sizes=sizes).select(
         *keys, "batch_id", "n_ids", "batch_len",
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
         F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"),
@@ -102,15 +102,11 @@ def quoted_sql(text: str) -> str:
 
 
 _SYSTEM = quoted_sql(C.SYSTEM_PROMPT)
-_CHATS = f"""
+_CHATS = """
 chats AS (
-  SELECT a.conv_id, a.turn,
-         '<|im_start|>system' || chr(10) || {_SYSTEM} || '<|im_end|>' || chr(10)
-         || '<|im_start|>user' || chr(10) || a.text || '<|im_end|>' || chr(10)
-         || '<|im_start|>assistant' || chr(10) || b.text || '<|im_end|>' || chr(10) AS text
-  FROM conversations a JOIN conversations b
-    ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
-  WHERE a.role = 'user' AND b.role = 'assistant')"""
+  SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10),
+                             '' ORDER BY turn, role, text) AS text
+  FROM conversations WHERE role IS NOT NULL AND text IS NOT NULL GROUP BY conv_id)"""
 
 
 def _token_sql(source: str, keys: str) -> str:
@@ -126,12 +122,12 @@ chunks AS (
   FROM tokens JOIN vocab USING (token) GROUP BY ALL)"""
 
 
-_CONVERSATION_TOKENS = f"{_CHATS}, {_token_sql('chats', 'conv_id, turn')}"
+_CONVERSATION_TOKENS = f"{_CHATS}, {_token_sql('chats', 'conv_id')}"
 
 ORACLES = {
     "prompt_build": rf"""
 SELECT doc_id, {_SYSTEM} AS system, 'user' AS role,
-       'Analyze this text:' || chr(10) || chr(10) || substring(text, 1, 15000) AS prompt
+       'Analyze this text:' || chr(10) || chr(10) || text AS prompt
 FROM documents WHERE regexp_matches(text, '\S')""",
     "chat_messages": f"""
 WITH blocks AS ({BLOCK_SQL})
@@ -141,7 +137,7 @@ FROM blocks WHERE contains(output, 'Sentiment:') AND contains(output, 'Decision:
     "render_chat": f"WITH {_CHATS} SELECT * FROM chats",
     "vocabulary": f"WITH {_CONVERSATION_TOKENS} SELECT token, id AS token_id, n FROM vocab",
     "token_chunks": f"""WITH {_CONVERSATION_TOKENS}
-SELECT conv_id, turn, chunk_no, CAST(len(ids) AS INTEGER) AS n_ids,
+SELECT conv_id, chunk_no, CAST(len(ids) AS INTEGER) AS n_ids,
        CAST(len(ids) AS INTEGER) AS mask_sum, array_to_string(ids, ' ') AS ids
 FROM chunks""",
     "document_chunks": f"""WITH {_token_sql('documents', 'doc_id')}
@@ -149,14 +145,14 @@ SELECT doc_id, chunk_no, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids
 FROM chunks""",
     "pad_batches": f"""WITH {_CONVERSATION_TOKENS},
 numbered AS (
-  SELECT *, (row_number() OVER (ORDER BY conv_id, turn, chunk_no) - 1) // {T.BATCH_SIZE}
+  SELECT *, (row_number() OVER (ORDER BY conv_id, chunk_no) - 1) // {T.BATCH_SIZE}
             AS batch_id
   FROM chunks),
 sized AS (
   SELECT *, CAST(len(ids) AS INTEGER) AS n_ids,
          CAST(max(len(ids)) OVER (PARTITION BY batch_id) AS INTEGER) AS batch_len
   FROM numbered)
-SELECT conv_id, turn, chunk_no, batch_id, n_ids, batch_len, n_ids AS mask_sum,
+SELECT conv_id, chunk_no, batch_id, n_ids, batch_len, n_ids AS mask_sum,
        array_to_string(ids, ' ') || repeat(' 0', batch_len - n_ids) AS ids,
        array_to_string(ids, ' ') || repeat(' {T.IGNORED_LABEL}', batch_len - n_ids) AS labels
 FROM sized""",

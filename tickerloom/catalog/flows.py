@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.catalog import alpha as alpha_queries
-from tickerloom.catalog.chat import turn_pairs
 from tickerloom.catalog.labels import BLOCK_SQL, block_text
 from tickerloom.catalog.rows import _WORDS
-from tickerloom.catalog.tables import iso, spread_table, table
+from tickerloom.catalog.tables import iso, table
 from tickerloom.catalog.text import NORMALIZED_SQL
-from tickerloom.operators import alpha as A
 from tickerloom.operators import chat, matching, roles
 from tickerloom.plans import alpha_news as N
 from tickerloom.plans import chat_set
@@ -31,8 +29,9 @@ def news(spark: SparkSession, sf: str) -> DataFrame:
 
     Copies of a text share a url; documents in one language have no publisher.
     """
-    docs = spread_table(spark, sf, "documents", "doc_id")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    docs = table(spark, sf, "documents")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate").join(
+        docs.select(F.col("doc_id").alias("o_orderkey")).distinct(), "o_orderkey", "left_semi")
     raw = docs.join(orders, docs.doc_id == orders.o_orderkey, "left").select(
         "doc_id", F.concat(F.lit("https://n/"), F.sha2("text", 256)).alias("url"),
         F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("published"),
@@ -89,7 +88,9 @@ def known_responses(spark: SparkSession, sf: str) -> DataFrame:
 def label_from_table(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("input"))
     responses = known_responses(spark, sf)
-    labelled = responses.limit(0).select("input", "output")
+    good = table(spark, sf, "labels").where("quality = 1").select("doc_id")
+    labelled = docs.join(good, "doc_id", "left_semi").select(
+        "input", F.lit("Sentiment: Neutral\nDecision: HOLD").alias("output"))
     return chat_set.label_pending(
         docs, labelled, lambda df: chat.label_from_table(df, responses)
     ).select("doc_id", "output")
@@ -142,7 +143,7 @@ def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
     unlabelled ones twice.
     """
     base = f"{shared_dir(prepare(spark))}/files-{uuid.uuid4().hex}"
-    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text", "source")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("doc_id"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("publish_date"))
@@ -220,7 +221,7 @@ ranked AS (
   SELECT h.*, n.url, n.event_date,
          row_number() OVER (PARTITION BY ticker, kw_idx
                             ORDER BY event_date DESC NULLS LAST, url, h.doc_id) AS rank
-  FROM hits h JOIN news n ON h.doc_id = n.doc_id QUALIFY rank <= 50),
+  FROM hits h JOIN news n ON h.doc_id = n.doc_id),
 firsts AS (
   SELECT * FROM ranked
   QUALIFY row_number() OVER (PARTITION BY ticker, url ORDER BY kw_idx, rank) = 1),
@@ -230,8 +231,8 @@ labelled AS (
   FROM firsts e ASOF JOIN fwd f ON e.ticker = f.ticker AND e.event_date < f.date
   WHERE e.event_date IS NOT NULL AND f.close > 0 AND f.bench_close > 0)
 SELECT l.ticker, c.phrase AS company_name, strftime(l.event_date, '%Y-%m-%d') AS published_date,
-       substring(CASE WHEN length({_STRIP}) > 300 THEN {_STRIP}
-            ELSE title || ' | ' || publisher || ' | ' || description END, 1, 2500) AS news_text,
+       CASE WHEN length({_STRIP}) > 300 THEN {_STRIP}
+            ELSE title || ' | ' || publisher || ' | ' || description END AS news_text,
        CAST(alpha > 0 AS INTEGER) AS true_alpha, l.kw_idx
 FROM labelled l JOIN news n ON l.doc_id = n.doc_id JOIN companies c ON c.ticker = l.ticker
 WHERE l.end_date < l.event_date + INTERVAL 35 DAY AND alpha IS NOT NULL
@@ -243,14 +244,15 @@ SELECT user_id AS ticker, strftime(ts, '%Y-%m-%d') AS date,
 FROM events WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY 1, 2""",
     "label_batches": """
 WITH p AS (
-  SELECT doc_id, length('Analyze this text:' || chr(10) || chr(10)
-                        || substring(text, 1, 15000)) AS n
+  SELECT doc_id, length('Analyze this text:' || chr(10) || chr(10) || text) AS n
   FROM documents)
 SELECT doc_id, 'Sentiment: Neutral' || chr(10) || 'Confidence: ' || n
        || chr(10) || 'Decision: HOLD' AS output
 FROM p WHERE n % 2 = 0""",
     "label_from_table": f"""WITH {_LABELLED}
-SELECT doc_id, output FROM documents d JOIN known k ON d.text = k.text""",
+SELECT doc_id, output FROM documents d JOIN known k ON d.text = k.text
+WHERE d.text NOT IN (
+  SELECT text FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND text IS NOT NULL)""",
     "incremental_label": f"""WITH {_LABELLED}
 SELECT d.text AS input, output FROM documents d JOIN known k ON d.text = k.text""",
     "chat_training_set": f"""WITH {_LABELLED}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.catalog.alpha import events
-from tickerloom.catalog.tables import spread_table, table
+from tickerloom.catalog.tables import table
 from tickerloom.operators import aggregates, columns, dedup, filters, joins, matching, ranking
 from tickerloom.sources.dims import KEYWORDS
 
@@ -35,18 +35,18 @@ def bare_url(url: Column) -> Column:
 
 
 def first_seen(spark: SparkSession, sf: str) -> DataFrame:
-    """First page per host and section; the host stands for the ticker."""
+    """First page per host and address; the host stands for the ticker."""
     address = bare_url(F.col("url"))
     pages = table(spark, sf, "pages").select(
         "page_id", "url", F.substring_index(address, "/", 1).alias("host"),
-        F.substring_index(address, "/", 2).alias("address"))
-    return ranking.first_seen(pages, ["host", "address"], [F.asc("page_id")], ["page_id"])
+        address.alias("address"))
+    return ranking.first_seen(pages, ["host", "address"], ["page_id"])
 
 
 def first_seen_text(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select(
         "doc_id", F.sha2("text", 256).alias("digest"))
-    return ranking.first_seen(docs, ["digest"], [F.asc("doc_id")], ["doc_id"])
+    return ranking.first_seen(docs, ["digest"], ["doc_id"])
 
 
 def top_k_per_group(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +71,7 @@ def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
                              F.array_join(F.slice("w", 1, 2), " ").alias("company_name"))
     keywords = words.groupBy(F.get("w", F.lit(2)).alias("keyword")).agg(
         F.min("item_id").cast("int").alias("kw_idx"))
-    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     return matching.match_news(docs, companies, keywords)
 
 
@@ -84,14 +84,13 @@ def unpivot_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_choice(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread_table(spark, sf, "documents", "doc_id")
+    docs = table(spark, sf, "documents")
     rows = docs.join(table(spark, sf, "labels"), "doc_id", "left")
     full = F.when(F.col("quality") == 1, F.col("text"))
     chosen = columns.choose_text(F.col("source"), columns.publisher_title(F.col("lang")),
                                  F.when(F.col("toxic") == 1, F.col("text")), full)
     picked = rows.select("doc_id", chosen.alias("news_text"))
-    return filters.min_length(picked, "news_text").select(
-        "doc_id", columns.truncate(F.col("news_text")).alias("news_text"))
+    return filters.min_length(picked, "news_text")
 
 
 def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,8 +110,7 @@ def skip_completed(spark: SparkSession, sf: str) -> DataFrame:
 def saved_per_group(spark: SparkSession, sf: str) -> DataFrame:
     """Events kept per supplier, zeros reported."""
     groups = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ticker"))
-    kept = events(spark, sf).where(F.col("event_date") < F.lit("1996-01-01").cast("date"))
-    return aggregates.kept_per_group(groups, kept, ["ticker"])
+    return aggregates.kept_per_group(groups, events(spark, sf), ["ticker"])
 
 
 def ingest_manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,7 +186,7 @@ WITH src AS (
   FROM pages),
 parts AS (
   SELECT page_id, url, split_part(address, '/', 1) AS host,
-         array_to_string(string_split(address, '/')[1:2], '/') AS address
+         address
   FROM src)
 SELECT * FROM parts
 QUALIFY row_number() OVER (PARTITION BY address ORDER BY page_id) = 1""",
@@ -229,7 +227,7 @@ WITH src AS (
               ELSE coalesce(source, '') || ' | ' || coalesce(lang, 'Unknown Source') || ' | '
                 || CASE WHEN toxic = 1 THEN coalesce(text, '') ELSE '' END END AS news_text
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
-SELECT doc_id, substring(news_text, 1, 2500) AS news_text FROM src
+SELECT doc_id, news_text FROM src
 WHERE length(news_text) > 50""",
     "resume_anti_join": r"""
 SELECT doc_id, text AS input FROM documents
@@ -242,7 +240,7 @@ WHERE c_custkey NOT IN (
     "saved_per_group": """
 SELECT s_suppkey AS ticker, count(o_orderkey) AS saved
 FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey
-LEFT JOIN orders ON o_orderkey = l_orderkey AND CAST(o_orderdate AS DATE) < DATE '1996-01-01'
+LEFT JOIN orders ON o_orderkey = l_orderkey
 GROUP BY 1""",
     "ingest_manifest": _MANIFEST,
     "manifest_totals": f"""

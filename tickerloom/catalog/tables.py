@@ -12,16 +12,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A table about to meet heavy per-row work, spread over all cores.
-
-    A small file with one row group is one task. Only an input with fewer
-    splits than cores is shuffled, by its key; a large one is left as it is read.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def iso(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")

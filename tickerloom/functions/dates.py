@@ -24,6 +24,7 @@ _WEEKDAY = (r"(?i)\b(?:mon(?:day)?|tue(?:s(?:day)?)?|wed(?:nesday)?|"
 _DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
 _GAP = r"[\s\-/.,]*"
 _SEP = r"([-/. ])"
+_YEAR = r"(\d{4}|\d{2})"
 _OVER_12 = r"(1[3-9]|[23]\d)"
 _CLOCK = (r"^[\s,Tt]*(?:at\s+)?(\d{1,2})(?::?(\d{2}))?(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?"
           r"\s*([AaPp])?[Mm]?\s*([+-]\d{2}(?::?\d{2})?|Z|[A-Z]{3,5})?$")
@@ -43,14 +44,14 @@ def _shapes(day_first: bool, year_day_month: bool) -> list[tuple[str, str]]:
     if day_first:
         shapes.insert(0, (rf"^(\d{{4}}){_SEP}{_OVER_12}\2(\d{{1,2}})(?!\d)(.*)$",
                           "$1-$4-$3|$5"))
-        shapes.append((rf"^(\d{{1,2}}){_SEP}{_OVER_12}\2(\d{{4}})(?!\d)(.*)$", "$4-$1-$3|$5"))
+        shapes.append((rf"^(\d{{1,2}}){_SEP}{_OVER_12}\2{_YEAR}(?!\d)(.*)$", "$4-$1-$3|$5"))
         preferred = "$4-$3-$1|$5"
     else:
-        shapes.append((rf"^{_OVER_12}{_SEP}(\d{{1,2}})\2(\d{{4}})(?!\d)(.*)$", "$4-$3-$1|$5"))
+        shapes.append((rf"^{_OVER_12}{_SEP}(\d{{1,2}})\2{_YEAR}(?!\d)(.*)$", "$4-$3-$1|$5"))
         preferred = "$4-$1-$3|$5"
     return shapes + [
-        (rf"^(\d{{1,2}}){_SEP}(\d{{1,2}})\2(\d{{4}})(?!\d)(.*)$", preferred),
-        (rf"(?i)^{_DAY}{_GAP}{_MONTH}{_GAP}(\d{{4}})(?!\d)(.*)$", "$3-$2-$1|$4"),
+        (rf"^(\d{{1,2}}){_SEP}(\d{{1,2}})\2{_YEAR}(?!\d)(.*)$", preferred),
+        (rf"(?i)^{_DAY}{_GAP}{_MONTH}{_GAP}(\d{{4}}(?!\d)|\d{{2}}(?![\d:]))(.*)$", "$3-$2-$1|$4"),
         (rf"(?i)^(\d{{4}}){_GAP}{_MONTH}{_GAP}{_DAY}(?!\d)(.*)$", "$1-$2-$3|$4"),
         (r"^(\d{4})[-/](\d{1,2})$", "$1-$2-1|"),
         (r"^(\d{4})$", "$1-1-1|"),
@@ -59,7 +60,7 @@ def _shapes(day_first: bool, year_day_month: bool) -> list[tuple[str, str]]:
 
 # Shapes of text that starts with a month name.
 _NAMED = [
-    (rf"(?i)^{_MONTH}{_GAP}{_DAY}[\s\-/.,]+(\d{{4}})(?![\d:])(.*)$", "$3-$1-$2|$4"),
+    (rf"(?i)^{_MONTH}{_GAP}{_DAY}[\s\-/.,]+{_YEAR}(?![\d:])(.*)$", "$3-$1-$2|$4"),
     (rf"(?i)^{_MONTH}\s+{_DAY}\s+(\d{{1,2}}:[\d:.]+)\s+(\d{{4}})$", "$4-$1-$2|$3"),
     (rf"(?i)^{_MONTH}{_GAP}(\d{{4}})$", "$2-$1-1|"),
 ]
@@ -124,12 +125,18 @@ def _resolve(df: DataFrame, source: str, day_first: bool,
               .when(zone.rlike(r"^[+-]\d{2}$"), F.concat(zone, F.lit(":00")))
               .otherwise(F.lit("+00:00")))
     return df.withColumns({
-        "__local": F.concat(F.get("__ymd", F.lit(0)), F.lit("-"), F.col("__month"),
+        "__local": F.concat(_whole_year(F.get("__ymd", F.lit(0))), F.lit("-"), F.col("__month"),
                             F.lit("-"), F.get("__ymd", F.lit(2)), F.lit(" "), clock),
         "__offset": offset,
     })
 
 
+def _whole_year(year: Column) -> Column:
+    """Two digits below 70 are of this century, others of the last."""
+    century = F.when(year < "70", F.lit("20")).otherwise(F.lit("19"))
+    return F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
+
+
 def parse_mixed(df: DataFrame, source: str, target: str,
                 day_first: bool = False, gap_fill: bool = False) -> DataFrame:
     """Common formats to a UTC timestamp; unparsable values become null.

@@ -108,8 +108,7 @@ def next_trading_day_join(events: DataFrame, by_day: DataFrame,
                           how: str = "inner") -> DataFrame:
     """Attach the forward alpha to events on (ticker, event_date).
 
-    An inner join drops events without a label. The day table grows with the
-    number of tickers and its size is hard to estimate from the scan, so it is
-    merge-joined instead of left to a broadcast on a wrong guess.
+    An inner join drops events without a label. Adaptive execution chooses the
+    join by the sizes it measures.
     """
-    return events.join(by_day.hint("merge"), ["ticker", "event_date"], how)
+    return events.join(by_day, ["ticker", "event_date"], how)

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tickerloom.operators.columns import truncate
 from tickerloom.operators.filters import well_formed
 
 # --- fixed values -----------------------------------------------------------
 PROMPT_LEAD = "Analyze this text:\n\n"
-PROMPT_CHARS = 15000
 START, END = "<|im_start|>", "<|im_end|>"
 
 SYSTEM_PROMPT = """You are a Senior Portfolio Manager and Quantitative Analyst at a top-tier hedge fund. Your task is to analyze financial news/reports and provide a structured, high-signal assessment.
@@ -44,14 +44,15 @@ def message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
-def prompt_text(text: Column) -> Column:
-    return F.concat(F.lit(PROMPT_LEAD), F.substring(text, 1, PROMPT_CHARS))
+def prompt_text(text: Column, max_chars: int | None = None) -> Column:
+    return F.concat(F.lit(PROMPT_LEAD), truncate(text, max_chars))
 
 
-def build_prompts(df: DataFrame, text: str = "input", system: str = SYSTEM_PROMPT) -> DataFrame:
-    """Adds ``messages``: the system prompt and the text to analyse."""
+def build_prompts(df: DataFrame, text: str = "input", system: str = SYSTEM_PROMPT,
+                  max_chars: int | None = None) -> DataFrame:
+    """Adds ``messages``: the system prompt and the text (its start, if asked) to analyse."""
     return df.withColumn("messages", F.array(
-        message("system", F.lit(system)), message("user", prompt_text(F.col(text)))))
+        message("system", F.lit(system)), message("user", prompt_text(F.col(text), max_chars))))
 
 
 def to_chat_messages(df: DataFrame, user: str = "input", assistant: str = "output",
@@ -69,7 +70,7 @@ def render_chat(messages: Column) -> Column:
 
 
 def label_batches(df: DataFrame, label: Callable[[pd.Series], pd.Series],
-                  text: str = "input") -> DataFrame:
+                  text: str = "input", max_chars: int | None = None) -> DataFrame:
     """Adds ``output`` from a caller's batch function; malformed ones are dropped.
 
     ``label`` gets the prompt texts of one Arrow batch and returns as many
@@ -79,7 +80,7 @@ def label_batches(df: DataFrame, label: Callable[[pd.Series], pd.Series],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            prompts = PROMPT_LEAD + batch[text].str.slice(0, PROMPT_CHARS)
+            prompts = PROMPT_LEAD + batch[text].str.slice(0, max_chars)
             yield batch.assign(output=label(prompts))
 
     return well_formed(df.mapInPandas(run, schema))

@@ -20,7 +20,6 @@ CANONICAL_NAMES = {
 SYMBOL_FOLDER = "nifty 50"
 SYMBOL_COLUMN = "Symbol"
 MIN_FULL_TEXT = 300
-NEWS_TEXT_CHARS = 2500
 UNKNOWN_PUBLISHER = "Unknown Source"
 # ----------------------------------------------------------------------------
 
@@ -69,9 +68,9 @@ def inject_symbol(df: DataFrame, path: Column) -> DataFrame:
     return df.withColumn(SYMBOL_COLUMN, F.when(below, stem))
 
 
-def truncate(c: Column, n: int = NEWS_TEXT_CHARS) -> Column:
-    """The first ``n`` characters (code points)."""
-    return F.substring(c, 1, n)
+def truncate(c: Column, n: int | None = None) -> Column:
+    """The first ``n`` characters (code points); all of them unless ``n`` is given."""
+    return c if n is None else F.substring(c, 1, n)
 
 
 def publisher_title(title: Column) -> Column:

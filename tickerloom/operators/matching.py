@@ -2,8 +2,8 @@
 
 A search is a quoted company phrase plus a keyword. Both are matched as whole
 words in any case. A document's word runs are joined to the phrases by equality,
-so nothing is compared pairwise, and the phrase side may be any size: Spark
-broadcasts it when its measured size is small and shuffles it otherwise.
+so nothing is compared pairwise. The phrases are measured: up to a bound they are
+broadcast, so word runs are filtered before any shuffle; more are shuffled.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from tickerloom.functions.naming import col
 
+# Phrases of up to this many bytes, with ROW_BYTES on top of each, are broadcast.
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 128
+
 _BETWEEN = r"[^\p{L}\p{N}_]+"
 
 
@@ -45,17 +49,22 @@ def matched_phrases(docs: DataFrame, doc_key: str, text: str, phrases: DataFrame
                     phrase: str) -> DataFrame:
     """(doc_key, phrase columns) for every phrase a document contains."""
     keyed = phrases.withColumn("__phrase", phrase_key(col(phrase)))
-    sizes = keyed.select(F.size(F.split("__phrase", " ")).alias("n")).distinct()
-    lengths = sorted(r.n for r in sizes.collect())  # a few phrase lengths
+    sizes = keyed.groupBy(F.size(F.split("__phrase", " ")).alias("n")).agg(
+        F.sum(F.octet_length("__phrase") + ROW_BYTES).alias("bytes")).collect()
+    lengths = sorted(r.n for r in sizes)  # a few phrase lengths
+    small = sum(r.bytes or 0 for r in sizes) <= BROADCAST_BYTES
     runs = docs.select(doc_key, words_of(col(text)).alias("__words")).select(
         doc_key, F.explode(word_runs(F.col("__words"), lengths or [1])).alias("__phrase"))
-    return runs.join(keyed, "__phrase").drop("__phrase")
+    return runs.join(F.broadcast(keyed) if small else keyed, "__phrase").drop("__phrase")
 
 
 def match_news(docs: DataFrame, companies: DataFrame, keywords: DataFrame,
-               doc_key: str = "doc_id", text: str = "text") -> DataFrame:
+               doc_key: str = "doc_id", text: str = "text",
+               first_keyword: bool = False) -> DataFrame:
     """(doc_key, ticker, kw_idx) for articles with the company and the keyword.
 
+    ``first_keyword`` gives the smallest ``kw_idx`` only, instead of all of them.
+
     One pass finds both kinds. Matches are gathered per document, where their
     number is bounded by the document's own words.
     """
@@ -71,9 +80,9 @@ def match_news(docs: DataFrame, companies: DataFrame, keywords: DataFrame,
         F.collect_set(F.when(F.col("__kind") == 1, F.col("__id"))).alias("__keywords"),
     ).where((F.size("__companies") > 0) & (F.size("__keywords") > 0))
     ticker_type = companies.schema["ticker"].dataType
+    numbers = F.transform("__keywords", lambda k: k.cast("int"))
     return (
-        per_doc.select(doc_key, F.explode("__companies").alias("ticker"), "__keywords")
+        per_doc.select(doc_key, F.explode("__companies").alias("ticker"), numbers.alias("__kw"))
         .select(doc_key, F.col("ticker").cast(ticker_type).alias("ticker"),
-                F.explode("__keywords").alias("kw_idx"))
-        .withColumn("kw_idx", F.col("kw_idx").cast("int"))
+                (F.array_min("__kw") if first_keyword else F.explode("__kw")).alias("kw_idx"))
     )

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
 RESULTS_PER_SEARCH = 50
-SAMPLE_VALUES = 200
 # ----------------------------------------------------------------------------
 
 SALTS = 32
@@ -41,10 +40,16 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     )
 
 
-def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-               salt_on: Sequence[str] | None = None) -> DataFrame:
-    """The first copy per key; apply before tests that may reject that copy."""
-    return top_k_per_group(df, keys, order, 1, "__first", salt_on).drop("__first")
+def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first copy per key; apply before tests that may reject that copy.
+
+    ``order`` names columns that rank the copies, smallest first. One aggregate
+    with partial minima: a hot key is reduced before the one shuffle.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    first = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"))
+    return first.select(*keys, "__first.*").select(*df.columns)
 
 
 def best_score(df: DataFrame, score: str, name: str) -> DataFrame:

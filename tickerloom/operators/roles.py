@@ -1,7 +1,7 @@
 """Column roles (date, text, target) and types, inferred per file.
 
-One aggregate job profiles all files of a group. A value sample is taken only
-where names and types leave the date column undecided.
+One aggregate job profiles all files of a group. A second one parses values as
+dates, only of columns that names and types leave undecided.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType,
 from tickerloom.functions.dates import parse_mixed
 from tickerloom.functions.labels import as_number
 from tickerloom.functions.naming import col
-from tickerloom.operators.ranking import SAMPLE_VALUES, top_k_per_group
 
 # --- fixed values -----------------------------------------------------------
 DATE_NAME = r"(date|time|timestamp|datetime|publish|created|updated|posted|dt)"
@@ -86,9 +85,9 @@ def base_scores(kinds: Mapping[str, str]) -> dict[str, int]:
 
 
 def undecided(kinds: Mapping[str, str]) -> list[str]:
-    """The string columns whose sampled values can still decide the winner.
+    """The string columns whose values can still decide the winner.
 
-    A sample adds at most three points, and only to string columns.
+    A parse rate adds at most three points, and only to string columns.
     """
     scores = base_scores(kinds)
     if not scores:
@@ -102,21 +101,14 @@ def undecided(kinds: Mapping[str, str]) -> list[str]:
     return [n for n in contenders if kinds[n] == STRING]
 
 
-def sampled_parse_rates(df: DataFrame, keys: Sequence[str], position: str,
-                        columns: Sequence[str], n: int = SAMPLE_VALUES) -> DataFrame:
-    """(keys, column, rate): share of the first ``n`` non-null values that parse.
-
-    ``position`` orders a file's rows. Map tasks keep ``n`` rows per file and
-    column, so the shuffle carries samples only.
-    """
-    long = df.select(*[col(k) for k in keys], col(position),
-                     *[col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [*[col(k) for k in keys], col(position)], [col(c) for c in columns], "column", "value")
-    head = top_k_per_group(long.where("value is not null"), [*keys, "column"],
-                           [F.asc(position)], n, salt_on=[position])
-    parsed = parse_mixed(head, "value", "__parsed", day_first=True)
-    return parsed.groupBy(*[col(k) for k in keys], "column").agg(
-        F.avg(F.col("__parsed").isNotNull().cast("int")).alias("rate"))
+def parse_rates(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(keys, one column per name): share of all its non-null values that parse as a date."""
+    named = df.select(*[col(k) for k in keys],
+                      *[col(c).cast("string").alias(f"__v{i}") for i, c in enumerate(columns)])
+    for i in range(len(columns)):
+        named = parse_mixed(named, f"__v{i}", f"__p{i}", day_first=True)
+    return named.groupBy(*[col(k) for k in keys]).agg(*[
+        (F.count(f"__p{i}") / F.count(f"__v{i}")).alias(c) for i, c in enumerate(columns)])
 
 
 def pick_date_column(kinds: Mapping[str, str], rates: Mapping[str, float]) -> str | None:
@@ -129,20 +121,15 @@ def pick_date_column(kinds: Mapping[str, str], rates: Mapping[str, float]) -> st
     return min(scored)[1] if scored else None
 
 
-def infer_roles(df: DataFrame, position: str | None = None) -> Roles:
-    """Roles of one frame seen as a single file."""
-    names = [c for c in df.columns if c != position]
+def infer_roles(df: DataFrame, ignored: Sequence[str] = ()) -> Roles:
+    """Roles of one frame seen as a single file, without its ``ignored`` columns."""
+    names = [c for c in df.columns if c not in ignored]
     strings = [n for n in names if isinstance(df.schema[n].dataType, StringType)]
     counts = profile(df, [], strings).first().asDict()
     kinds = kinds_of(counts, {n: df.schema[n].dataType for n in names})
     date = None
     if counts["n_rows"]:
         open_columns = undecided(kinds)
-        rates = {}
-        if open_columns:
-            source = df if position else df.withColumn(
-                "__position", F.monotonically_increasing_id())
-            rates = {r["column"]: r.rate for r in sampled_parse_rates(
-                source, [], position or "__position", open_columns).collect()}
-        date = pick_date_column(kinds, rates)
+        rates = parse_rates(df, [], open_columns).first().asDict() if open_columns else {}
+        date = pick_date_column(kinds, {n: r for n, r in rates.items() if r is not None})
     return Roles(date, tuple(infer_text_columns(kinds)), tuple(infer_target_columns(names)))

@@ -13,6 +13,7 @@ from tickerloom.operators.numbering import global_row_number
 MAX_LENGTH = 1024
 BATCH_SIZE = 4
 IGNORED_LABEL = -100
+UNKNOWN_ID = -1
 # ----------------------------------------------------------------------------
 
 # Chat markers are single tokens, then words, then single symbols.
@@ -44,8 +45,8 @@ def vocabulary(tokens: DataFrame) -> DataFrame:
     return ranked.select("token", (F.col("__rank") - 1).cast("int").alias("token_id"), "n")
 
 
-def with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Token rows with their ids.
+def with_ids(tokens: DataFrame, vocab: DataFrame, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+    """Token rows with their ids; a token outside the vocabulary gets ``unknown_id``.
 
     A vocabulary whose measured size is small is broadcast whole. A larger one
     is split: common tokens make up most of any text and would be hot join
@@ -55,12 +56,12 @@ def with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     vocab = vocab.select("token", "token_id")
     size = vocab.agg(F.sum(F.octet_length("token") + ROW_BYTES).alias("bytes")).first()
     if (size["bytes"] or 0) <= BROADCAST_BYTES:
-        return tokens.join(F.broadcast(vocab), "token")
+        return tokens.join(F.broadcast(vocab), "token", "left").fillna(unknown_id, ["token_id"])
     common = (F.col("token_id") < FREQUENT) & (F.length("token") <= FREQUENT_CHARS)
     looked_up = tokens.join(F.broadcast(vocab.where(common)), "token", "left")
     hits = looked_up.where("token_id is not null")
     misses = looked_up.where("token_id is null").drop("token_id").join(
-        vocab.where(~common), "token")
+        vocab.where(~common), "token", "left").fillna(unknown_id, ["token_id"])
     return hits.unionByName(misses)
 
 
@@ -95,13 +96,19 @@ def attention_mask(ids: Column) -> Column:
     return F.array_repeat(F.lit(1), F.size(ids))
 
 
-def batch_numbers(chunks: DataFrame, keys: Sequence[str],
-                  size: int = BATCH_SIZE) -> DataFrame:
-    """(keys, n_ids, batch_id, batch_len) for chunks in key order.
+def chunk_sizes(df: DataFrame, keys: Sequence[str], text: str,
+                max_length: int = MAX_LENGTH) -> DataFrame:
+    """(keys, chunk_no, n_ids) of the slices that texts give, without encoding them."""
+    n = F.col("__n")
+    counted = df.select(*keys, F.size(tokens_of(F.col(text))).alias("__n"))
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(max_length)))
+    return counted.select(*keys, "__n", F.posexplode(starts).alias("chunk_no", "__at")).select(
+        *keys, "chunk_no", F.least(F.lit(max_length), n - F.col("__at")).alias("n_ids"))
 
-    Only keys and lengths are numbered; the ids stay where they are.
-    """
-    narrow = chunks.select(*keys, F.size("input_ids").alias("n_ids"))
+
+def batch_numbers(narrow: DataFrame, keys: Sequence[str],
+                  size: int = BATCH_SIZE) -> DataFrame:
+    """(keys, n_ids, batch_id, batch_len) for chunks (keys, n_ids) in key order."""
     numbered = global_row_number(narrow, [F.asc(k) for k in keys], "__row")
     batch = F.floor((F.col("__row") - 1) / size).alias("batch_id")
     in_batch = Window.partitionBy("batch_id")
@@ -110,9 +117,15 @@ def batch_numbers(chunks: DataFrame, keys: Sequence[str],
 
 
 def pad_batches(chunks: DataFrame, keys: Sequence[str], pad_id: int = 0,
-                size: int = BATCH_SIZE) -> DataFrame:
-    """Groups of ``size`` chunks padded to the longest of the group."""
-    joined = chunks.join(batch_numbers(chunks, keys, size), list(keys))
+                size: int = BATCH_SIZE, sizes: DataFrame | None = None) -> DataFrame:
+    """Groups of ``size`` chunks padded to the longest of the group.
+
+    ``sizes`` (keys, n_ids) spares a second encoding if the chunks' lengths are
+    known otherwise, as from ``chunk_sizes``.
+    """
+    if sizes is None:
+        sizes = chunks.select(*keys, F.size("input_ids").alias("n_ids"))
+    joined = chunks.join(batch_numbers(sizes, keys, size), list(keys))
     missing = F.col("batch_len") - F.col("n_ids")
 
     def padded(values: Column, filler: int) -> Column:

@@ -25,27 +25,33 @@ def searchable_text(title: str = "title", description: str = "description",
 
 
 def search_results(news: DataFrame, companies: DataFrame, keywords: DataFrame,
-                   per_search: int = ranking.RESULTS_PER_SEARCH) -> DataFrame:
-    """(doc_id, ticker, kw_idx, url, event_date, rank): the newest hits per search.
+                   per_search: int | None = None) -> DataFrame:
+    """(doc_id, ticker, kw_idx, url, event_date): the hits of each company.
 
-    ``news`` has a unique ``doc_id``. Hits without a date rank last.
+    ``news`` has a unique ``doc_id``. Every hit counts, under its first keyword;
+    with ``per_search`` a company and keyword keep their newest hits only, as a
+    search service with a limit would return them.
     """
     texts = news.select("doc_id", searchable_text().alias("__text"))
-    hits = matching.match_news(texts, companies, keywords, "doc_id", "__text")
-    heads = news.select("doc_id", "url", "event_date")
+    hits = matching.match_news(texts, companies, keywords, "doc_id", "__text",
+                               first_keyword=per_search is None)
+    results = hits.join(news.select("doc_id", "url", "event_date"), "doc_id")
+    if per_search is None:
+        return results
     newest = [F.col("event_date").desc_nulls_last(), F.asc_nulls_last("url"), F.asc("doc_id")]
-    return ranking.top_k_per_group(hits.join(heads, "doc_id"), ["ticker", "kw_idx"], newest,
-                                   per_search, salt_on=["doc_id"])
+    return ranking.top_k_per_group(results, ["ticker", "kw_idx"], newest, per_search,
+                                   salt_on=["doc_id"]).drop("rank")
 
 
 def first_results(results: DataFrame) -> DataFrame:
-    """One hit per company and url: the first by keyword, then rank.
+    """One hit per company and url: the first by keyword, then the newest.
 
     A first hit that later fails the date or alpha test still hides the others.
     """
-    with_url = results.where(filters.valid_url(F.col("url")))
+    with_url = results.where(filters.valid_url(F.col("url"))).withColumn(
+        "__age", F.coalesce(-F.unix_date("event_date"), F.lit(2**31 - 1)))
     return ranking.first_seen(with_url, ["ticker", "url"],
-                              [F.asc("kw_idx"), F.asc("rank")], ["kw_idx", "rank"])
+                              ["kw_idx", "__age", "doc_id"]).drop("__age")
 
 
 def labelled_records(results: DataFrame, news: DataFrame, companies: DataFrame,

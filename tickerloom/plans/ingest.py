@@ -151,7 +151,7 @@ class Ingest:
         return df
 
     def _melted(self, df: DataFrame) -> DataFrame:
-        date = R.infer_roles(df.drop(PATH), PLACE).date
+        date = R.infer_roles(df, (PATH, PLACE)).date
         keep = [PATH, PLACE]
         values = [c for c in df.columns if c not in (*keep, date)]
         wide = df.select(*keep, *([col(date).alias("date")] if date else []),
@@ -181,30 +181,36 @@ class Ingest:
             extra.append(F.count(F.col(f"__ts{index}")).alias(f"{name}__parsed"))
             if name not in strings:
                 extra.append(F.count(col(name)).alias(f"{name}__non_null"))
-        extra += [F.count_if(col(n).rlike(r"^\s*[+-]?\d{1,18}\s*$")).alias(f"{n}__whole")
-                  for n in strings]
+        for n in strings:
+            digits = col(n).rlike(r"^\s*[+-]?\d+\s*$")
+            extra += [F.count_if(digits).alias(f"{n}__digits"),
+                      F.count_if(digits & F.trim(col(n)).try_cast("long").isNotNull())
+                      .alias(f"{n}__whole")]
         counted = R.profile(looked, [PATH], strings, extra).collect()
         files = {row[PATH]: row.asDict() for row in counted}
         kinds = {p: R.kinds_of(c, schema) for p, c in files.items()}
-        rates = self._sampled(df, {p: k for p, k in kinds.items()
+        rates = self._rates(df, {p: k for p, k in kinds.items()
                                    if not rule.skip_dates and R.undecided(k)})
         decided = {}
         for path, counts in files.items():
             date = None if rule.skip_dates else R.pick_date_column(
                 kinds[path], rates.get(path, {}))
+            # Digits that no long holds stay text: a double would merge different ids.
+            for n in strings:
+                if counts[f"{n}__whole"] < counts[f"{n}__digits"]:
+                    kinds[path][n] = R.STRING
             whole = frozenset(n for n in strings if kinds[path][n] == R.NUMBER
                               and counts[f"{n}__whole"] == counts["n_rows"])
             decided[path] = (Shape(tuple(kinds[path].items()), whole, date), counts)
         return decided
 
-    def _sampled(self, df: DataFrame, kinds: dict[str, dict]) -> dict[str, dict[str, float]]:
+    def _rates(self, df: DataFrame, kinds: dict[str, dict]) -> dict[str, dict[str, float]]:
         if not kinds:
             return {}
         names = sorted({n for k in kinds.values() for n in R.undecided(k)})
-        rates: dict[str, dict[str, float]] = defaultdict(dict)
-        for row in R.sampled_parse_rates(df, [PATH], PLACE, names).collect():
-            rates[row[PATH]][row["column"]] = row.rate
-        return rates
+        some = df.where(col(PATH).isin(list(kinds)))
+        return {row[PATH]: {n: row[n] for n in names if row[n] is not None}
+                for row in R.parse_rates(some, [PATH], names).collect()}
 
     def _parsed(self, plan: ReadPlan, df: DataFrame, source: str, target: str) -> DataFrame:
         rule = self.folder_rules.get(plan.folder_rule, FolderRule())
@@ -240,7 +246,7 @@ class Ingest:
         if shape.date:
             df = self._parsed(plan, df, shape.date, "__ts")
             df = df.withColumn(shape.date, to_iso_utc(F.col("__ts"))).drop("__ts")
-        typed = {n: as_number(col(n)).cast("long" if n in shape.whole else "double")
+        typed = {n: F.trim(col(n)).try_cast("long") if n in shape.whole else as_number(col(n))
                  for n, kind in kinds.items()
                  if kind == R.NUMBER and n != shape.date
                  and isinstance(df.schema[n].dataType, StringType)}
@@ -267,6 +273,7 @@ class Ingest:
             conf.set(name, value)
         try:
             plans, refused = self.read_plans()
+            self._remove(self.output)
             records = [self._failed(path, None, reason) for path, reason in refused.items()]
             for plan, paths in plans.items():
                 records += self._isolated(plan, paths)
@@ -278,13 +285,27 @@ class Ingest:
         return self.spark.read.parquet(f"{self.output}/_manifest")
 
     def _isolated(self, plan: ReadPlan, paths: list[str]) -> list[tuple]:
-        """A group at once; file by file when it fails, so one bad file fails alone."""
+        """A group at once, and by halves when it fails, so a bad file fails alone.
+
+        What a failed attempt has written is removed before the halves begin.
+        """
+        before = self._written
         try:
             return self._group(plan, paths)
         except Exception as error:
+            for group in range(before, self._written + 1):
+                self._remove(f"{self.output}/schema_group={group}")
+            self._written = before
             if len(paths) > 1:
-                return [r for path in paths for r in self._isolated(plan, [path])]
-            return [self._failed(paths[0], plan, f"{type(error).__name__}: {error}"[:4000])]
+                half = len(paths) // 2
+                return (self._isolated(plan, paths[:half]) + self._isolated(plan, paths[half:]))
+            return [self._failed(paths[0], plan, f"{type(error).__name__}: {error}")]
+
+    def _remove(self, path: str) -> None:
+        """Delete a folder in whatever file system it lies."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        place.getFileSystem(conf).delete(place, True)
 
     def _group(self, plan: ReadPlan, paths: list[str]) -> list[tuple]:
         decided = self.decide(plan, self.load(plan, paths))
@@ -310,7 +331,7 @@ class Ingest:
                 inside, "/[^/]*$", "")).otherwise(F.lit(".")),
             "source_file": F.substring_index(inside, "/", -1),
         }).drop(PATH)
-        sinks.write_parquet_tree(placed, self.output, "overwrite" if group == 0 else "append")
+        sinks.write_parquet_tree(placed, self.output)
         self._written += 1
         return group
 

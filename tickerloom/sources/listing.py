@@ -55,7 +55,8 @@ def probe_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     ``valid_utf8`` decides the encoding: what is not UTF-8 is read as Latin-1,
     which accepts any byte. ``open_quotes`` marks files with a quoted field
     that runs over a line end; only those need the slower whole-file parser.
-    ``head`` is the first non-empty line, ``sep`` the first candidate that
+    ``head`` is the first non-empty line (of a JSON file its first character, as
+    a document may be one long line), ``sep`` the first candidate that
     splits it. Files are split as usual and each task sends one row per file.
     """
     value, block = F.col("value"), F.col("_metadata.file_block_start")
@@ -64,7 +65,9 @@ def probe_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     lines = spark.read.text([glob_safe(p) for p in paths]).select(
         source_path().alias("path"),
         F.is_valid_utf8(value).alias("valid"), (quotes % 2 == 1).alias("odd"),
-        F.when((block == 0) & (value != ""), value).alias("line"),
+        F.when((block == 0) & (value != ""), F.when(
+            F.lower(source_path()).endswith(".json"), F.left(F.ltrim(value), F.lit(1)))
+            .otherwise(value)).alias("line"),
         F.monotonically_increasing_id().alias("place"))
     first = F.when(F.col("line").isNotNull(), F.col("place"))
     per_file = lines.groupBy("path").agg(
