@@ -64,6 +64,10 @@ def test_frequent_and_rare_tokens_get_one_id_each(spark, monkeypatch, limit):
     assert ids["a"] == 0 and ids["b"] == 1 and sorted(ids.values()) == list(range(6))
     got = {(r.id, r.pos): (r.token, r.token_id) for r in tokens.with_ids(rows, vocab).collect()}
     assert len(got) == 9 and all(ids[t] == i for t, i in got.values())
+    known = tokens.with_ids(rows, vocab.where("token in ('a', 'b')")).collect()
+    assert len(known) == 9
+    assert all(r.token_id == ids[r.token] if r.token in "ab" else r.token_id == tokens.UNKNOWN_ID
+               for r in known)
 
 
 def test_prompt_and_render(spark):

@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 
 from tickerloom.plans.ingest import ingest, read_ingested, totals
+from tickerloom.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +142,62 @@ def test_sniffed_json_tsv_parquet_and_melt(run):
     assert list(data("t.tsv").date) == ["2020-01-02 00:00:00"]
     assert data("p.parquet").iloc[0].to_dict() == {"Headline": "p", "when": data("p.parquet").when[0]}
     assert sorted(data("mnews_2014.csv").text) == ["one", "three", "two"]
+
+
+def _rows_on_disk(spark, out):
+    return sorted((r.source_file, r.text) for r in spark.read.parquet(str(out)).select(
+        "source_file", "text").collect())
+
+
+def test_a_failed_write_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    root, out = tmp_path / "in", tmp_path / "out"
+    root.mkdir()
+    for name, body in [("a.csv", "text,v\nA,1\n"), ("b.csv", "text,v\nB,x\n"),
+                       ("c.csv", "text,v\nC,2\n")]:
+        (root / name).write_text(body)
+    real, calls = sinks.write_parquet_tree, []
+
+    def flaky(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("disk went away")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(sinks, "write_parquet_tree", flaky)
+    manifest = ingest(spark, str(root), str(out)).collect()
+    assert len(calls) > 2 and {r.status for r in manifest} == {"success"}
+    for r in manifest:
+        kept = read_ingested(spark, str(out), r.schema_group)
+        assert kept.where(kept.source_file == r.input_file.rsplit("/", 1)[-1]).count() == r.rows_out
+    folders = {p.name for p in out.iterdir() if p.name.startswith("schema_group=")}
+    assert folders == {f"schema_group={r.schema_group}" for r in manifest}
+    assert sum(r.rows_out for r in manifest) == 3
+
+
+def test_a_run_without_readable_files_clears_the_old_output(spark, tmp_path):
+    root, bad, out = tmp_path / "in", tmp_path / "bad", tmp_path / "out"
+    root.mkdir()
+    bad.mkdir()
+    (root / "a.csv").write_text("text\nA\n")
+    (bad / "b.parquet").write_text("not parquet")
+    ingest(spark, str(root), str(out))
+    assert [p for p in out.iterdir() if p.name.startswith("schema_group=")]
+    (row,) = ingest(spark, str(bad), str(out)).collect()
+    assert row.status == "failed"
+    assert not [p for p in out.iterdir() if p.name.startswith("schema_group=")]
+
+
+def test_long_ids_stay_exact_and_broken_json_lines_fail_their_file(spark, tmp_path):
+    root, out = tmp_path / "in", tmp_path / "out"
+    root.mkdir()
+    (root / "ids.csv").write_text("text,code,big\nA,1234567890123456789,99999999999999999999\n"
+                                  "A,1234567890123456788,99999999999999999998\n")
+    (root / "good.jsonl").write_text('{"title": "x"}\n{"title": "y"}\n')
+    (root / "bad.jsonl").write_text('{"title": "x"}\n{"title": \n')
+    (root / "long.json").write_text(json.dumps([{"title": "t" * 50_000}]))
+    rows = {r.input_file.rsplit("/", 1)[-1]: r for r in ingest(spark, str(root), str(out)).collect()}
+    assert {n: r.status for n, r in rows.items()} == {
+        "ids.csv": "success", "good.jsonl": "success", "bad.jsonl": "failed", "long.json": "success"}
+    got = read_ingested(spark, str(out), rows["ids.csv"].schema_group).collect()
+    assert sorted(r.code for r in got) == [1234567890123456788, 1234567890123456789]
+    assert sorted(r.big for r in got) == ["99999999999999999998", "99999999999999999999"]

@@ -85,7 +85,8 @@ def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
 def read_json(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
     """JSON documents (``lines=False``) or one record per line.
 
-    A file that holds no readable document is tried as lines.
+    A file that holds no readable document is tried as lines; a malformed record
+    is an error.
     """
     escaped = [glob_safe(p) for p in paths]
     df = spark.read.option("multiLine", not lines).json(escaped)
@@ -94,7 +95,9 @@ def read_json(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
     if df.columns == ["_corrupt_record"]:
         raise ValueError("no readable JSON record")
     if "_corrupt_record" in df.columns:
-        df = df.where("_corrupt_record is null").drop("_corrupt_record")
+        if df.where("_corrupt_record is not null").head(1):
+            raise ValueError("a JSON record is malformed")
+        df = df.drop("_corrupt_record")
     return _with_source(_flat(df))
 
 
