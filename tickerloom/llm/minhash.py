@@ -239,7 +239,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, id: str, text: str, k: int,
               .select(F.expr("if(fa > fb, a, b)").alias("hub"),
                       F.expr("if(fa > fb, b, a)").alias("id"),
                       F.expr("greatest(fa, fb)").alias("fame"))
-              .withColumn("salt", F.expr(f"pmod(xxhash64(id), ceil(fame / {BLOCK}))")))
+              .withColumn("salt", F.expr(f"pmod(xxhash64(id), ceil(fame / {BLOCK}))"))
+              .checkpoint())
     partners = turned.join(sets, "id").select(
         "hub", "salt", F.lit(1).alias("kind"), "id", "packed")
     hubs = (turned.select("hub", "salt").distinct()
