@@ -13,8 +13,9 @@ from pyspark.sql.types import StructType
 
 from tickerloom.session import prepare, shared_dir
 
-# Texts in one Arrow batch; keeps a batch of ordinary texts at a few megabytes.
+# Texts, and bytes, in one Arrow batch.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 
 
 def worker_memo(name: str, make: Callable):
@@ -37,6 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_ready(spark: SparkSession) -> SparkSession:
     """Session settings of the operators: UTC, small Arrow batches, the shared folder."""
     prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     shared_dir(spark)
     return spark
 
