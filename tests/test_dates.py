@@ -78,3 +78,14 @@ def test_exact(spark):
                                 (3, "20201301"), (4, None)], "i int, v string")
     got = iso(df.withColumn("p", D.parse_exact(F.col("v"))))
     assert got == ["2020-05-26 00:00:00", None, "2020-05-26 00:00:00", None, None]
+
+
+def test_two_digit_years(spark):
+    texts = {"12/05/21": ("2021-12-05", "2021-05-12"), "26-May-20": ("2020-05-26",) * 2,
+             "May 26, 20": ("2020-05-26",) * 2, "13.05.98": ("1998-05-13",) * 2,
+             "05/13/69": ("2069-05-13",) * 2, "26 May 10:30": (None, None)}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for place, day_first in enumerate((False, True)):
+        rows = D.parse_mixed(df, "t", "ts", day_first=day_first).collect()
+        assert {r.t: r.ts and str(r.ts.date()) for r in rows} == {
+            t: both[place] for t, both in texts.items()}

@@ -201,6 +201,16 @@ WITH src AS (
 SELECT doc_id, date, {NORMALIZED_SQL} AS text, sentiment FROM src
 UNION ALL SELECT doc_id, date, {NORMALIZED_SQL} AS text, sentiment FROM src
 WHERE sentiment IS NULL""",
+    "infer_roles": """
+SELECT 'orders' AS table_name, (
+         SELECT CASE WHEN avg((try_strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y')
+                               IS NOT NULL)::INT) >= 0.3 THEN 'o_orderdate' END
+         FROM orders) AS date_column, '' AS text_columns, '' AS target_columns
+UNION ALL SELECT 'documents', NULL, (
+         SELECT CASE WHEN count(text) > count(TRY_CAST(text AS DOUBLE)) THEN 'text' ELSE '' END
+         FROM documents), ''
+UNION ALL SELECT 'labels', NULL, '', ''
+UNION ALL SELECT 'events', 'ts', '', ''""",
     "news_contract": f"""WITH {_NEWS}
 SELECT doc_id, url, strftime(event_date, '%Y-%m-%d') AS event_date, title, description, publisher
 FROM news""",
