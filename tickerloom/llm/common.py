@@ -86,16 +86,6 @@ def arrow_schema(fields: StructType | str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(fields) if isinstance(fields, str) else fields)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder, and read again."""
-    import uuid
-
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # Ids that may be broadcast: about 32 MB as a hash table.
 BROADCAST_IDS = 1_000_000
 
