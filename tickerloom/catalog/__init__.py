@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tickerloom.catalog import alpha, chat, dates, flows, labels, rows, text
+from tickerloom.catalog import alpha, chat, dates, flows, labels, rows, sources, text
 
-_MODULES = (alpha, text, labels, dates, rows, chat, flows)
+_MODULES = (alpha, text, labels, dates, rows, chat, flows, sources)
 
 
 def _merged(attribute: str) -> dict:

@@ -374,10 +374,18 @@ def ingest(spark: SparkSession, root: str, output: str, **rules) -> DataFrame:
 
 
 def read_ingested(spark: SparkSession, output: str, group: int) -> DataFrame:
-    """The cleaned rows of one schema group, with their source folder and file."""
-    return (spark.read.option("basePath", output)
-            .option("spark.sql.sources.partitionColumnTypeInference.enabled", False)
-            .parquet(f"{output}/schema_group={group}"))
+    """The cleaned rows of one schema group, with their source folder and file.
+
+    Folder names stay text, also where they look like numbers; Spark decides
+    that when the path is read, by a session setting.
+    """
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inference)
+    spark.conf.set(inference, "false")
+    try:
+        return spark.read.option("basePath", output).parquet(f"{output}/schema_group={group}")
+    finally:
+        spark.conf.set(inference, before)
 
 
 def totals(manifest: DataFrame) -> DataFrame:
