@@ -263,3 +263,47 @@ def test_planted_passages_are_found_and_clean_documents_left(spark):
 
 def test_passages_of_an_empty_table(odd):
     assert passages.repeated_passages(odd.limit(0)).count() == 0
+
+
+def test_exact_passages_behind_a_frequent_line_equal_brute_force(spark):
+    chance = random.Random(23)
+    line = prose(chance, 30)
+    rows = [(i, f"{line} {prose(chance, 60)}") for i in range(40)]  # earlier holders of the line
+    for n in range(25):
+        passage = f"{line} {prose(chance, 30)}"
+        rows += [(100 + 2 * n + k, f"{prose(chance, 40)} {passage} {prose(chance, 40)}")
+                 for k in (0, 1)]
+    rows = passages.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hit = defaultdict(set)
+    for r in rows:
+        hit[r["id"], r["source"]].update(range(r["start"], r["start"] + r["n_words"]))
+    assert hit.keys() == {(101 + 2 * n, 100 + 2 * n) for n in range(25)}
+    assert all(set(range(40, 100)) <= words for words in hit.values())
+
+
+def changed(chance, text, every, how):
+    words = text.split()
+    for i in range(len(words) - len(words) % every - every // 2, 0, -every):
+        words[i:i + (how == "delete")] = [] if how == "delete" else [f"new{chance.randrange(10**6)}"]
+    return " ".join(words)
+
+
+def test_passages_with_insertions_and_deletions(spark):
+    chance = random.Random(29)
+    rows, i = [], 0
+    for how in ("insert", "delete"):
+        for n, every in ((90, 90), (200, 45), (52, 52)):
+            for _ in range(8):
+                text = prose(chance, n, 10**6)
+                rows += [(i, f"{prose(chance, 60, 10**6)} {text} {prose(chance, 30, 10**6)}"),
+                         (i + 1, f"{prose(chance, 20, 10**6)} {changed(chance, text, every, how)} "
+                                 f"{prose(chance, 70, 10**6)}")]
+                i += 2
+    inner = prose(chance, 60, 10**6)  # its seeds stand at three places of the earlier text
+    part = " ".join(inner.split()[20:40])
+    rows += [(i, f"{part} {prose(chance, 30, 10**6)} {inner} {prose(chance, 30, 10**6)} {part}"),
+             (i + 1, f"{inner} {prose(chance, 50, 10**6)}")]
+    found = passages.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["id"], r["source"]) for r in found} == {(k + 1, k) for k in range(0, i + 1, 2)}
