@@ -87,6 +87,15 @@ def test_odd_pages(spark):
     assert crf.main_text(df.limit(0), chain).count() == 0
 
 
+def test_long_attributes_and_self_closed_elements():
+    value = "x > y " * 5000
+    page = (f'<div><p data-a="{value}">One</p><img src=\'{value}\'>two</div>'
+            '<svg a="b"/><p>three</p><iframe src="u" /><p>four</p><svg><p>gone</p></svg>')
+    assert [(b.text, b.path) for b in crf.blocks(page)] == [
+        ("One", ("div", "p")), ("two", ("div",)), ("three", ("p",)), ("four", ("p",))]
+    crf.blocks('<a b="' * 3000)
+
+
 def test_viterbi_and_likelihood_agree_with_enumeration():
     page = [crf.Block(t, ("html", "body", "p"), frozenset()) for t in ("a b.", "c", "d e f.")]
     draw = np.random.default_rng(1)

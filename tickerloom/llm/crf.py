@@ -12,8 +12,9 @@ anew in other common layouts, in which the same blocks keep their labels, so the
 model does not lean on one tag.
 
 Defined results: a null page is empty; a page without main blocks gives an empty
-text; malformed and unclosed markup is read as far as it goes; repeated rows come
-back repeated; an empty table gives no rows.
+text; malformed and unclosed markup is read as far as it goes; attribute values may
+have any length; a self-closed element holds nothing; repeated rows come back
+repeated; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,9999}\"|'[^']{0,9999}')*)>", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _CUT_OFF = re.compile(r"<[a-zA-Z/!][^>]*$")
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
@@ -104,7 +105,7 @@ def blocks(page: str) -> list[Block]:
             if any(t == name for t, _ in stack):
                 while stack.pop()[0] != name:
                     pass
-        elif name in RAW:
+        elif name in RAW and not token.group(3).endswith("/"):
             end = _RAW_END[name].search(page, at)
             at = len(page) if end is None else end.end()
         elif name not in VOID and not token.group(3).endswith("/"):
