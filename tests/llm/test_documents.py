@@ -75,6 +75,19 @@ def test_frequent_lines_go_but_copies_stay(spark):
     assert menu not in clean[0] and clean[100] == story and menu in clean[301]
 
 
+def test_several_frequent_lines_of_a_host_go(spark):
+    chance = random.Random(6)
+    rows = []
+    for host in range(12):  # the notice is the lowest line at most of the hosts
+        notice, menu = prose(chance, 60, 10**6), prose(chance, 10, 10**6)
+        for i in range(40):
+            own = [prose(chance, 10, 10**6) for _ in range(5)]
+            rows.append((40 * host + i, "\n".join([menu, *own, notice]), f"h{host}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality_rules.quality_rules(docs).collect()
+    assert {r["n_removed_words"] for r in got} == {70}
+
+
 def test_quality_rules_of_an_empty_table(odd):
     assert quality_rules.quality_rules(odd.limit(0)).count() == 0
     assert quality_rules.kept_documents(odd).count() == 0

@@ -2,9 +2,12 @@
 
 Everything runs in built-in column functions. Lines are normalised (lower case,
 runs of white space as one space, trimmed) and hashed. For every host and line
-the distinct documents are counted by what else they hold: a document stands
-under one of its other lines, that with the smallest hash divided by its number of
-words, so copies and near copies mostly stand under the same. A line is over the
+the distinct documents are counted by what else they hold. A document's own lines
+are those that at most ``MAX_DOCUMENTS`` distinct texts of the host hold. With more
+than ``OWN_PERCENT`` of its words in them it stands under one of them, else it is
+taken for a near copy and stands under one of all its other lines: that with the
+smallest hash divided by its number of words, so copies and near copies mostly
+stand under the same. A line is over the
 limit if it stands in more than ``MAX_DOCUMENTS`` documents that differ so, and
 these are at least half of the distinct texts that hold it; the lines of a much
 copied document are thus not taken for boilerplate. Lines over the limit are
@@ -26,6 +29,7 @@ from tickerloom.llm.common import arrow_ready, table, without
 
 MAX_DOCUMENTS = 10  # documents of a host that may hold a line
 LEAST_PERCENT = 30  # words that have to remain
+OWN_PERCENT = 20  # a text with fewer words of its own is a near copy
 WHITE = r"[\x20\x09-\x0D]+"
 
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -86,14 +90,26 @@ def base_measures(df: DataFrame, text: str, keep: Iterable[str]) -> DataFrame:
 
 def frequent_lines(base: DataFrame, max_documents: int) -> DataFrame:
     """(host, line) of lines in more than ``max_documents`` differing documents of the host."""
-    lines = (base.dropDuplicates(["__host", "__digest"])
-             .withColumn("__lines", F.array_distinct("__lines"))
-             .withColumn("low", F.slice(F.array_sort(F.transform("__lines", lambda x: F.struct(
-                 (x.line / x.words).alias("rank"), x.line.alias("line")))), 1, 2))
-             .select(F.col("__host").alias("host"), "low", F.explode("__lines").alias("one"))
-             .select("host", F.col("one.line").alias("line"), F.expr(
-                 "if(one.line = low[0].line, coalesce(get(low, 1).line, low[0].line), "
-                 "low[0].line)").alias("stands")))
+    texts = (base.dropDuplicates(["__host", "__digest"])
+             .withColumn("__lines", F.array_distinct("__lines")))
+    held = texts.select(F.col("__host").alias("host"), F.col("__digest").alias("digest"),
+                        F.explode("__lines").alias("one")).select(
+        "host", "digest", F.col("one.line").alias("line"), F.col("one.words").alias("words"))
+    often = (held.groupBy("host", "line").agg(F.count("*").alias("n"))
+             .where(F.col("n") > max_documents).select("host", "line", F.lit(True).alias("often")))
+    rank = F.struct((F.col("line") / F.col("words")).alias("rank"), "line")
+    known = held.join(often, ["host", "line"], "left").groupBy("host", "digest").agg(
+        F.min(F.when(F.col("often").isNull(), rank)).alias("own"),
+        F.sum(F.when(F.col("often").isNull(), F.col("words")).otherwise(0)).alias("own_words"),
+        F.sum("words").alias("all_words"),
+        F.slice(F.array_sort(F.collect_list(rank)), 1, 2).alias("low"),
+        F.collect_list(F.when(F.col("often"), F.col("line"))).alias("lines"))
+    lines = (known.select(
+        "host", "low", F.explode("lines").alias("line"),
+        F.expr(f"if(100 * own_words > {OWN_PERCENT} * all_words, own.line, null)").alias("own"))
+        .select("host", "line", F.expr(
+            "coalesce(own, if(line = low[0].line, coalesce(get(low, 1).line, low[0].line), "
+            "low[0].line))").alias("stands")))
     return (lines.groupBy("host", "line", "stands").agg(F.count("*").alias("n_texts"))
             .groupBy("host", "line").agg(F.count("*").alias("n_documents"),
                                          F.sum("n_texts").alias("n_texts"))
