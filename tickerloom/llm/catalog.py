@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from tickerloom.llm import (
-    bpe, crf, gam, minhash, packing, passages, quality_rules, sharding, tokens, topk,
+    bpe, crf, fingerprints, gam, minhash, packing, passages, prefix_trie, quality_rules,
+    sharding, tokens, topk, whitening,
 )
 
 _MODULES = (quality_rules, tokens, packing, sharding, crf, topk, gam, bpe, minhash,
-            passages)
+            passages, whitening, fingerprints, prefix_trie)
 
 
 def all_queries() -> dict:
