@@ -3,7 +3,7 @@ import json
 import pandas as pd
 import pytest
 
-from tickerloom.plans.ingest import ingest, read_ingested, totals
+from tickerloom.plans.ingest import ingest, read_ingested, read_manifest, totals
 from tickerloom.sources import sinks
 
 
@@ -47,6 +47,9 @@ def run(spark, tmp_path_factory):
     put("misc", "sheet.xlsx", "PK")
     put("misc", "broken.parquet", "not parquet")
     put("misc", "empty.csv", "")
+    put("misc", "_marked.csv", "text\nx\n")
+    put("misc/.cache", "kept.csv", "text\nx\n")
+    put("misc", "emptied.parquet", "")
     pd.DataFrame({"Headline": ["P"], "when": pd.to_datetime(["2020-05-05 10:00"])}
                  ).to_parquet(root / "misc" / "p.parquet")
     put("melt", "mnews_2014.csv", "Date,h1,h2\n2014-01-01,One,\n2014-01-02,Two,Three\n")
@@ -69,11 +72,18 @@ def test_listing_skips_documents_and_scripts(run):
 def test_one_bad_file_fails_alone(run):
     rows, _, manifest = run
     failed = {n for n, r in rows.items() if r.status == "failed"}
-    assert failed == {"sheet.xlsx", "broken.parquet"}
-    assert "empty.csv" not in rows  # Spark does not list files without bytes
+    assert failed == {"sheet.xlsx", "broken.parquet", "empty.csv", "emptied.parquet",
+                      "_marked.csv", "kept.csv"}
     assert rows["p.parquet"].status == "success"
     total = totals(manifest).first()
-    assert (total.total, total.failed) == (len(rows), 2)
+    assert (total.total, total.failed) == (len(rows), 6)
+
+
+def test_empty_and_hidden_files_say_why(run):
+    rows, _, _ = run
+    assert rows["empty.csv"].error == rows["emptied.parquet"].error == (
+        "no columns to parse from an empty file")
+    assert rows["_marked.csv"].error == rows["kept.csv"].error == "hidden files cannot be read"
 
 
 def test_headerless_latin1_and_label_dedup(run):
@@ -144,11 +154,6 @@ def test_sniffed_json_tsv_parquet_and_melt(run):
     assert sorted(data("mnews_2014.csv").text) == ["one", "three", "two"]
 
 
-def _rows_on_disk(spark, out):
-    return sorted((r.source_file, r.text) for r in spark.read.parquet(str(out)).select(
-        "source_file", "text").collect())
-
-
 def test_a_failed_write_leaves_nothing_behind(spark, tmp_path, monkeypatch):
     root, out = tmp_path / "in", tmp_path / "out"
     root.mkdir()
@@ -169,22 +174,104 @@ def test_a_failed_write_leaves_nothing_behind(spark, tmp_path, monkeypatch):
     for r in manifest:
         kept = read_ingested(spark, str(out), r.schema_group)
         assert kept.where(kept.source_file == r.input_file.rsplit("/", 1)[-1]).count() == r.rows_out
-    folders = {p.name for p in out.iterdir() if p.name.startswith("schema_group=")}
+    (folder,) = (out / "runs").iterdir()
+    folders = {p.name for p in folder.iterdir() if p.name.startswith("schema_group=")}
     assert folders == {f"schema_group={r.schema_group}" for r in manifest}
     assert sum(r.rows_out for r in manifest) == 3
 
 
-def test_a_run_without_readable_files_clears_the_old_output(spark, tmp_path):
+def _texts(spark, out):
+    """All published rows, as a reader of the output finds them."""
+    groups = [r.schema_group for r in read_manifest(spark, out).where(
+        "status = 'success'").select("schema_group").distinct().collect()]
+    return sorted(r.text for g in groups for r in read_ingested(spark, out, g).collect())
+
+
+def test_readers_see_the_old_or_the_new_output(spark, tmp_path, monkeypatch):
+    """Also in the middle of a run, and after one that died between two writes."""
+    first, second, out = tmp_path / "1", tmp_path / "2", str(tmp_path / "out")
+    for root, names in ((first, "ab"), (second, "cd")):
+        root.mkdir()
+        for name in names:
+            (root / f"{name}.csv").write_text(f"text,{name}\n{name},1\n")
+    ingest(spark, str(first), out)
+    real, seen = sinks.write_parquet_tree, []
+
+    def watched(*args, **kwargs):
+        real(*args, **kwargs)
+        seen.append(_texts(spark, out))
+
+    monkeypatch.setattr(sinks, "write_parquet_tree", watched)
+    ingest(spark, str(second), out)
+    assert seen == [["a", "b"], ["a", "b"]] and _texts(spark, out) == ["c", "d"]
+
+    def dying(*args, **kwargs):
+        real(*args, **kwargs)
+        seen.append(1)
+        if len(seen) == 4:
+            raise KeyboardInterrupt
+
+    monkeypatch.setattr(sinks, "write_parquet_tree", dying)
+    with pytest.raises(KeyboardInterrupt):
+        ingest(spark, str(first), out)
+    assert len(seen) == 4 and _texts(spark, out) == ["c", "d"]
+    monkeypatch.setattr(sinks, "write_parquet_tree", real)
+    ingest(spark, str(first), out)
+    assert _texts(spark, out) == ["a", "b"]
+    ingest(spark, str(second), out)
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 2  # the last and the one before
+
+
+def test_a_run_without_readable_files_publishes_nothing_but_failures(spark, tmp_path):
     root, bad, out = tmp_path / "in", tmp_path / "bad", tmp_path / "out"
     root.mkdir()
     bad.mkdir()
     (root / "a.csv").write_text("text\nA\n")
     (bad / "b.parquet").write_text("not parquet")
     ingest(spark, str(root), str(out))
-    assert [p for p in out.iterdir() if p.name.startswith("schema_group=")]
+    assert _texts(spark, str(out)) == ["a"]
     (row,) = ingest(spark, str(bad), str(out)).collect()
     assert row.status == "failed"
-    assert not [p for p in out.iterdir() if p.name.startswith("schema_group=")]
+    assert _texts(spark, str(out)) == []
+
+
+def test_an_empty_root(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert ingest(spark, str(tmp_path / "in"), str(tmp_path / "out")).count() == 0
+
+
+def test_many_small_files_stay_off_the_driver(spark, tmp_path, monkeypatch):
+    """Two plans in one folder, one of them over folders that lie in each other."""
+    root = tmp_path / "in"
+    for folder in ("a", "a/b c", "d%2"):
+        (root / folder).mkdir(parents=True)
+        for i in range(400):
+            (root / folder / f"f{i}.csv").write_text(f"text,n\nrow {i},{i}\n")
+    for i in range(60):
+        (root / "a" / f"g{i}.csv").write_text(f"title|n\nrow {i}|{i}\n")
+        (root / "d%2" / f"h{i}.jsonl").write_text(json.dumps({"title": f"row {i}"}) + "\n")
+    kind, collected = type(spark.range(0)), []
+    real = kind.collect
+
+    def counting(self):
+        rows = real(self)
+        collected.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", counting)
+    manifest = ingest(spark, str(root), str(tmp_path / "out"))
+    monkeypatch.setattr(kind, "collect", real)
+    assert collected and max(collected) < 10
+    total = totals(manifest).first()
+    assert (total.total, total.success, total.rows_in, total.rows_out) == (1320, 1320, 1320, 1320)
+    assert len(_texts_of(spark, str(tmp_path / "out"), "text")) == 1200
+
+
+def _texts_of(spark, out, column):
+    groups = [r.schema_group for r in read_manifest(spark, out).select(
+        "schema_group").distinct().collect()]
+    frames = [read_ingested(spark, out, g) for g in groups]
+    return [r for f in frames if column in f.columns for r in f.select(column).collect()]
 
 
 def test_long_ids_stay_exact_and_broken_json_lines_fail_their_file(spark, tmp_path):

@@ -1,20 +1,27 @@
 """Ingest a folder of mixed files into cleaned, typed, deduplicated Parquet.
 
 Files are grouped by how they are read (format, separator, header, encoding,
-rules). Each group costs one profiling aggregate, which decides the roles of
-every file at once, and one write per distinct outcome. Only per-file facts
-reach the driver: names, header lines and counts.
+rules). What is known of a file (its plan, its profile, its shape, its outcome) is
+a row of a DataFrame; only the distinct plans and shapes reach the driver, which
+runs one profiling aggregate per plan and one write per distinct shape. A group's
+files are read by their folders, or joined by path where a folder holds others too.
+A run is published at once, by one commit at its end.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Mapping
-from dataclasses import dataclass, field, replace
+import json
+import re
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DateType, LongType, StringType, StructType, TimestampNTZType, TimestampType,
+)
 
 from tickerloom.functions.dates import parse_dates, parse_exact, to_iso_utc
 from tickerloom.functions.labels import NUMERIC_LABEL_NAME, as_number, map_numeric_sentiment, title_case
@@ -25,8 +32,11 @@ from tickerloom.operators import roles as R
 from tickerloom.operators.aggregates import MIN_PARSE_PERCENT, rows_per, status_totals
 from tickerloom.operators.dedup import dedup_keep_unlabelled
 from tickerloom.rules import FILE_RULES, FOLDER_RULES, FileRule, FolderRule, resolve_rules
-from tickerloom.sources import readers, sinks
-from tickerloom.sources.listing import list_input_files, probe_text_files
+from tickerloom.session import shared_dir
+from tickerloom.sources import publishing, readers, sinks
+from tickerloom.sources.listing import (
+    list_input_files, probe_text_files, qualified,
+)
 
 TEXT_SUFFIXES = (".csv", ".txt", ".tsv", "")
 SPREADSHEETS = (".xlsx", ".xls")
@@ -44,6 +54,12 @@ MANIFEST_SCHEMA = """
     schema_group int, error string"""
 
 
+# Groups of so few files are read by their names.
+FEW_FILES = 32
+# Paths that are broadcast to pick a group's rows: about 64 MB.
+BROADCAST_FILES = 250_000
+
+
 @dataclass(frozen=True)
 class ReadPlan:
     """How the files of one group are read. Equal plans share a group."""
@@ -51,11 +67,15 @@ class ReadPlan:
     folder_rule: str | None
     file_rule: str | None
     in_symbol_folder: bool
-    sep: str = ","
+    sep: str | None = ","
     head: str | None = None         # header line, None when names are imposed
-    encoding: str = "utf-8"
+    encoding: str | None = "utf-8"
     multiline: bool = False
     folder: str = ""                # keeps self-describing files of one folder together
+    suffix: str = ""                # theirs
+
+
+PLAN_FIELDS = list(ReadPlan.__dataclass_fields__)
 
 
 @dataclass(frozen=True)
@@ -65,14 +85,46 @@ class Shape:
     whole: frozenset[str]
     date: str | None
 
+    def to_json(self) -> str:
+        return json.dumps([self.kinds, sorted(self.whole), self.date])
+
+    @staticmethod
+    def of(text: str) -> Shape:
+        kinds, whole, date = json.loads(text)
+        return Shape(tuple(map(tuple, kinds)), frozenset(whole), date)
 
-@dataclass
-class Outcome:
-    group: int
-    shape: Shape
-    text: list[str]
-    target: list[str]
-    counts: Mapping[str, dict] = field(default_factory=dict)
+
+@dataclass(frozen=True)
+class Files:
+    """The files of a group: ``frame`` has a ``path`` column, ``n`` rows.
+
+    ``paths`` are their names if they are known to the driver. Otherwise ``folders``
+    are read; ``alone`` says that these hold no other files (``alone_by_suffix``: no
+    others of their suffix), ``nested`` that other folders lie below them.
+    """
+    frame: DataFrame
+    n: int
+    paths: tuple[str, ...] | None = None
+    folders: tuple[str, ...] = ()
+    alone: bool = False
+    alone_by_suffix: bool = False
+    nested: bool = False
+
+    def named(self) -> Files:
+        """The same files by name; for groups that are few or have failed."""
+        if self.paths is not None:
+            return self
+        return replace(self, paths=tuple(r[0] for r in self.frame.select("path").collect()))
+
+    def some(self, paths: tuple[str, ...]) -> Files:
+        chosen = self.frame.where(F.col("path").isin(list(paths)))
+        return Files(chosen, len(paths), paths)
+
+
+def by_rule(values: Mapping[str, str | None]) -> Column:
+    """A column looked up by ``file_rule``; null for rules without a value."""
+    found = [F.when(F.col("file_rule") == k, F.lit(v)) for k, v in values.items() if v]
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
 class Ingest:
@@ -81,65 +133,101 @@ class Ingest:
     def __init__(self, spark: SparkSession, root: str, output: str,
                  folder_rules: Mapping[str, FolderRule] = FOLDER_RULES,
                  file_rules: Mapping[str, FileRule] = FILE_RULES):
-        self.spark, self.output = spark, output.rstrip("/")
+        self.spark = spark
+        self.output = output.rstrip("/")
         self.root = root.rstrip("/")
-        # Listed paths carry a scheme; what follows this text is relative to the root.
-        self.below = self.root.removeprefix("file:").lstrip("/") + "/"
+        self.base = qualified(spark, root)
         self.folder_rules, self.file_rules = folder_rules, file_rules
+        self.publication = publishing.Publication(spark, output)
         self._written = 0
+        self._folders: list[str] = []
 
     # -- reading ---------------------------------------------------------------
 
-    def read_plans(self) -> tuple[dict[ReadPlan, list[str]], dict[str, str]]:
-        """Paths per read plan, and the files no reader takes with the reason."""
-        listed = resolve_rules(list_input_files(self.spark, self.root),
-                               self.folder_rules, self.file_rules).collect()
-        textual = [r.path for r in listed
-                   if r.suffix in TEXT_SUFFIXES or r.suffix == ".json"]
-        probes = {r.path: r for r in probe_text_files(self.spark, textual).collect()
-                  } if textual else {}
-        plans, refused = defaultdict(list), {}
-        for row in listed:
-            parents = row.path.split("/")[:-1]
-            base = ReadPlan("", row.folder_rule, row.file_rule,
-                            P.SYMBOL_FOLDER in [p.lower() for p in parents])
-            if row.suffix in SPREADSHEETS:
-                refused[row.path] = "spreadsheets have to be exported to CSV or Parquet"
-            elif row.suffix in TEXT_SUFFIXES:
-                probe = probes.get(row.path)
-                if probe is None or probe.head is None:
-                    refused[row.path] = "no columns to parse from an empty file"
-                else:
-                    plans[self._delimited(base, row.suffix, probe)].append(row.path)
-            else:
-                lines = row.suffix == ".jsonl" or (
-                    row.path in probes and (probes[row.path].head or "").lstrip()[:1] == "{")
-                kind = "parquet" if row.suffix == ".parquet" else "json"
-                plans[replace(base, kind=kind, multiline=not lines,
-                              folder="/".join(parents))].append(row.path)
-        return plans, refused
-
-    def _delimited(self, base: ReadPlan, suffix: str, probe) -> ReadPlan:
-        rule = self.file_rules.get(base.file_rule, FileRule())
-        default = "\t" if suffix == ".tsv" else probe.sep if suffix == "" else ","
-        fallback = "utf-8" if probe.valid_utf8 else "latin1"
-        return replace(
-            base, kind="delimited", sep=rule.sep or default,
-            head=None if rule.names else probe.head, encoding=rule.encoding or fallback,
-            multiline=probe.open_quotes)
-
-    def load(self, plan: ReadPlan, paths: list[str]) -> DataFrame:
+    def planned(self) -> DataFrame:
+        """One row per listed file: path, folder, length, the plan's columns, why refused."""
+        files = resolve_rules(list_input_files(self.spark, self.root),
+                              self.folder_rules, self.file_rules)
+        probes = probe_text_files(self.spark, self.root, [*TEXT_SUFFIXES, ".json"])
+        parents = F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1)
+        rules = self.file_rules
+        sep, encoding = ({k: getattr(r, name) for k, r in rules.items()}
+                         for name in ("sep", "encoding"))
+        named = [k for k, r in rules.items() if r.names]
+        textual = F.col("suffix").isin(list(TEXT_SUFFIXES))
+        self_describing = ~textual & ~F.col("suffix").isin(list(SPREADSHEETS))
+        default_sep = F.when(F.col("suffix") == ".tsv", F.lit("\t")).when(
+            F.col("suffix") == "", F.col("sep")).otherwise(F.lit(","))
+        json_lines = (F.col("suffix") == ".jsonl") | F.coalesce(
+            F.ltrim("head").startswith("{"), F.lit(False))
+        planned = files.join(probes, "path", "left").withColumns({
+            "kind": F.when(textual, "delimited").when(F.col("suffix") == ".parquet", "parquet")
+                     .otherwise("json"),
+            "in_symbol_folder": F.exists(parents, lambda p: F.lower(p) == P.SYMBOL_FOLDER),
+            "plan_sep": F.when(textual, F.coalesce(by_rule(sep), default_sep)),
+            "plan_head": F.when(textual & ~F.coalesce(F.col("file_rule").isin(named), F.lit(False)),
+                                F.col("head")),
+            "plan_encoding": F.when(textual, F.coalesce(
+                by_rule(encoding), F.when(F.col("valid_utf8"), "utf-8").otherwise("latin1"))),
+            "multiline": F.when(textual, F.coalesce("open_quotes", F.lit(False)))
+                          .otherwise(~json_lines),
+            "own_folder": F.array_join(parents, "/"),
+            "refused": F.when(F.col("suffix").isin(list(SPREADSHEETS)),
+                              "spreadsheets have to be exported to CSV or Parquet")
+                        .when(F.col("hidden"), "hidden files cannot be read")
+                        .when((F.col("length") == 0) | (textual & F.col("head").isNull()),
+                              "no columns to parse from an empty file"),
+        })
+        empty = F.lit("")
+        return planned.select(
+            "path", "wanted", "hidden", "length", "refused", F.col("own_folder").alias("parent"),
+            F.col("suffix").alias("own_suffix"), "kind", "folder_rule", "file_rule",
+            "in_symbol_folder", F.col("plan_sep").alias("sep"), F.col("plan_head").alias("head"),
+            F.col("plan_encoding").alias("encoding"), "multiline",
+            F.when(self_describing, F.col("own_folder")).otherwise(empty).alias("folder"),
+            F.when(self_describing, F.col("suffix")).otherwise(empty).alias("suffix"),
+        ).withColumn("plan", F.sha2(F.to_json(F.struct(*PLAN_FIELDS)), 256)).checkpoint()
+
+    def groups(self, planned: DataFrame) -> list[tuple[ReadPlan, Files]]:
+        """The distinct plans, each with its files; folders come along, files do not."""
+        seen = planned.where(~F.col("hidden") & (F.col("length") > 0))
+        self._folders = sorted(r[0] for r in planned.select("parent").distinct().collect())
+        # What else a reader of the folder would meet.
+        use = F.when(F.col("wanted") & F.col("refused").isNull(), F.col("plan")).otherwise("-")
+        mixed = seen.groupBy("parent").agg(F.count_distinct(use).alias("uses"))
+        mixed_by_suffix = seen.groupBy("parent", F.col("own_suffix").alias("like")).agg(
+            F.count_distinct(use).alias("uses_by_suffix"))
+        ready = planned.where(F.col("wanted") & F.col("refused").isNull())
+        plans = (ready.join(mixed, "parent")
+                 .join(mixed_by_suffix.withColumnRenamed("like", "own_suffix"),
+                       ["parent", "own_suffix"])
+                 .groupBy("plan").agg(
+                     *[F.first(c).alias(c) for c in PLAN_FIELDS], F.count("*").alias("n"),
+                     F.sort_array(F.collect_set("parent")).alias("parents"),
+                     F.max("uses").alias("uses"), F.max("uses_by_suffix").alias("uses_by_suffix"))
+                 .orderBy("plan").collect())
+        return [(ReadPlan(**{c: r[c] for c in PLAN_FIELDS}),
+                 Files(ready.where(F.col("plan") == r.plan).select("path"), r.n, None,
+                       tuple(r.parents), r.uses == 1, r.uses_by_suffix == 1,
+                       any(self._nested(f) for f in r.parents))) for r in plans]
+
+    def _nested(self, folder: str) -> bool:
+        place = bisect_right(self._folders, folder + "/")
+        return place < len(self._folders) and self._folders[place].startswith(folder + "/")
+
+    def load(self, plan: ReadPlan, files: Files) -> DataFrame:
         """The group's rows after the schema tweaks, with path and place."""
         rule = self.file_rules.get(plan.file_rule, FileRule())
-        if plan.kind == "parquet":
-            df = readers.read_parquet(self.spark, paths)
-        elif plan.kind == "json":
-            df = readers.read_json(self.spark, paths, lines=not plan.multiline)
+        if plan.kind != "delimited":
+            df = self._self_describing(plan, files)
         else:
+            files = files.named() if files.n <= FEW_FILES else files
             names = list(rule.names or readers.header_names(plan.head, plan.sep))
             df = readers.read_delimited(
-                self.spark, paths, names, sep=plan.sep, header=rule.names is None,
-                encoding=plan.encoding, multiline=plan.multiline)
+                self.spark, list(files.paths or files.folders), names, sep=plan.sep,
+                header=rule.names is None, encoding=plan.encoding, multiline=plan.multiline)
+            if files.paths is None:
+                df = self._only(df, files)
         if rule.melt:
             df = self._melted(df)
         df = P.drop_columns(P.rename_columns(df, dict(rule.rename)), rule.drop)
@@ -150,6 +238,29 @@ class Ingest:
             df = P.drop_unnamed(df)
         return df
 
+    def _self_describing(self, plan: ReadPlan, files: Files) -> DataFrame:
+        """JSON and Parquet take their schema from what they read, so from members only."""
+        whole = files.alone_by_suffix and not files.nested and files.n > FEW_FILES
+        files = files if whole else files.named()
+        paths, suffix = list(files.paths or files.folders), plan.suffix if whole else None
+        if plan.kind == "parquet":
+            return readers.read_parquet(self.spark, paths, suffix)
+        return readers.read_json(self.spark, paths, lines=not plan.multiline, suffix=suffix)
+
+    def _only(self, df: DataFrame, files: Files) -> DataFrame:
+        """The rows of the group's files among those of its folders.
+
+        Folders below are left out by their paths before they are opened.
+        """
+        if files.nested:
+            parent = F.regexp_replace(col(PATH), "/[^/]*$", "")
+            df = df.where(parent.isin(list(files.folders)))
+        if files.alone:
+            return df
+        members = files.frame.select(F.col("path").alias(PATH))
+        return df.join(F.broadcast(members) if files.n <= BROADCAST_FILES else members,
+                       PATH, "left_semi")
+
     def _melted(self, df: DataFrame) -> DataFrame:
         date = R.infer_roles(df, (PATH, PLACE)).date
         keep = [PATH, PLACE]
@@ -162,11 +273,12 @@ class Ingest:
 
     # -- deciding --------------------------------------------------------------
 
-    def decide(self, plan: ReadPlan, df: DataFrame) -> dict[str, tuple[Shape, dict]]:
-        """Shape and counts per file, from one aggregate over the group.
+    def decide(self, plan: ReadPlan, df: DataFrame) -> DataFrame:
+        """(path, shape, n_rows, n_parsed, n_present) per file, from one aggregate.
 
         Likely date columns are parsed in the same pass, so their parse rate
-        needs no second look at the data.
+        needs no second look at the data. The aggregate's rows become kinds and
+        shapes where they lie.
         """
         names = [c for c in df.columns if c not in (PATH, PLACE)]
         schema = {n: df.schema[n].dataType for n in names}
@@ -186,31 +298,73 @@ class Ingest:
             extra += [F.count_if(digits).alias(f"{n}__digits"),
                       F.count_if(digits & F.trim(col(n)).try_cast("long").isNotNull())
                       .alias(f"{n}__whole")]
-        counted = R.profile(looked, [PATH], strings, extra).collect()
-        files = {row[PATH]: row.asDict() for row in counted}
-        kinds = {p: R.kinds_of(c, schema) for p, c in files.items()}
-        rates = self._rates(df, {p: k for p, k in kinds.items()
-                                   if not rule.skip_dates and R.undecided(k)})
-        decided = {}
-        for path, counts in files.items():
-            date = None if rule.skip_dates else R.pick_date_column(
-                kinds[path], rates.get(path, {}))
+        counted = R.profile(looked, [PATH], strings, extra)
+        counted = counted.select(F.col(PATH).alias("path"), F.to_json(F.struct(*[
+            col(c) for c in counted.columns if c != PATH])).alias("counts"))
+        return self._shaped(self._with_rates(counted, df, schema, rule.skip_dates), schema,
+                            strings, rule.skip_dates)
+
+    def _with_rates(self, counted: DataFrame, df: DataFrame, schema: Mapping,
+                    skip_dates: bool) -> DataFrame:
+        """``counted`` with the parse rates, as JSON, of columns that names leave undecided."""
+        if skip_dates:
+            return counted.withColumn("rates", F.lit(None).cast("string"))
+
+        def undecided(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for batch in batches:
+                counts = batch.column(1).to_pylist()
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+                    [R.undecided(R.kinds_of(json.loads(c), schema)) for c in counts],
+                    pa.list_(pa.string()))], names=["path", "counts", "open"])
+
+        first = counted.mapInArrow(
+            undecided, "path string, counts string, open array<string>").checkpoint()
+        names = sorted(r[0] for r in first.select(F.explode("open")).distinct().collect())
+        if not names:
+            return first.drop("open").withColumn("rates", F.lit(None).cast("string"))
+        some = first.where(F.size("open") > 0).select(F.col("path").alias(PATH))
+        rates = R.parse_rates(df.join(some, PATH, "left_semi"), [PATH], names)
+        rates = rates.select(F.col(PATH).alias("path"), F.to_json(F.struct(
+            *[col(n) for n in names])).alias("rates"))
+        return first.join(rates, "path", "left").select("path", "counts", "open", "rates")
+
+    def _shaped(self, counted: DataFrame, schema: Mapping, strings: list[str],
+                skip_dates: bool) -> DataFrame:
+        out = "path string, shape string, n_rows long, n_parsed long, n_present long"
+
+        def shape_of(counts: dict, rates: dict, open_columns: list) -> tuple[Shape, int, int]:
+            kinds = R.kinds_of(counts, schema)
+            date = None if skip_dates else R.pick_date_column(
+                kinds, {n: rates[n] for n in open_columns if rates.get(n) is not None})
             # Digits that no long holds stay text: a double would merge different ids.
             for n in strings:
                 if counts[f"{n}__whole"] < counts[f"{n}__digits"]:
-                    kinds[path][n] = R.STRING
-            whole = frozenset(n for n in strings if kinds[path][n] == R.NUMBER
+                    kinds[n] = R.STRING
+            whole = frozenset(n for n in strings if kinds[n] == R.NUMBER
                               and counts[f"{n}__whole"] == counts["n_rows"])
-            decided[path] = (Shape(tuple(kinds[path].items()), whole, date), counts)
-        return decided
-
-    def _rates(self, df: DataFrame, kinds: dict[str, dict]) -> dict[str, dict[str, float]]:
-        if not kinds:
-            return {}
-        names = sorted({n for k in kinds.values() for n in R.undecided(k)})
-        some = df.where(col(PATH).isin(list(kinds)))
-        return {row[PATH]: {n: row[n] for n in names if row[n] is not None}
-                for row in R.parse_rates(some, [PATH], names).collect()}
+            return (Shape(tuple(kinds.items()), whole, date), counts.get(f"{date}__parsed"),
+                    counts.get(f"{date}__non_null"))
+
+        def run(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for batch in batches:
+                rows = []
+                for row in batch.to_pylist():
+                    counts = json.loads(row["counts"])
+                    rates = json.loads(row["rates"]) if row["rates"] else {}
+                    shape, parsed, present = shape_of(
+                        counts, rates, row.get("open") or list(rates))
+                    rows.append((row["path"], shape.to_json(), counts["n_rows"], parsed, present))
+                columns = list(zip(*rows)) or [()] * 5
+                kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds)],
+                    names=["path", "shape", "n_rows", "n_parsed", "n_present"])
+
+        return counted.mapInArrow(run, out).checkpoint()
 
     def _parsed(self, plan: ReadPlan, df: DataFrame, source: str, target: str) -> DataFrame:
         rule = self.folder_rules.get(plan.folder_rule, FolderRule())
@@ -259,113 +413,124 @@ class Ingest:
         return dedup_keep_unlabelled(df.select(*[col(c) for c in order if c != PLACE]), targets)
 
     def _numeric_labels(self, kinds: Mapping[str, str]) -> list[str]:
-        import re
-
         return [n for n in kinds if re.search(NUMERIC_LABEL_NAME, n, re.I)]
 
     # -- running ---------------------------------------------------------------
 
     def run(self) -> DataFrame:
-        """Ingest everything, write the manifest, and return it."""
+        """Ingest everything, publish it, and return the manifest."""
+        shared_dir(self.spark)
         conf = self.spark.conf
         before = {name: conf.get(name) for name in READ_CONF}
         for name, value in READ_CONF.items():
             conf.set(name, value)
         try:
-            plans, refused = self.read_plans()
-            self._remove(self.output)
-            records = [self._failed(path, None, reason) for path, reason in refused.items()]
-            for plan, paths in plans.items():
-                records += self._isolated(plan, paths)
-            manifest = self.spark.createDataFrame(records, MANIFEST_SCHEMA)
-            sinks.write_manifest(manifest, f"{self.output}/_manifest")
+            with self.publication as run:
+                planned = self.planned()
+                self._record(self._failed(
+                    planned.where(F.col("wanted") & F.col("refused").isNotNull()),
+                    F.col("refused")))
+                for plan, files in self.groups(planned):
+                    self._isolated(plan, files)
+                run.commit()
         finally:
             for name, value in before.items():
                 conf.set(name, value)
-        return self.spark.read.parquet(f"{self.output}/_manifest")
+        return self.spark.read.parquet(f"{self.publication.folder}/_manifest")
 
-    def _isolated(self, plan: ReadPlan, paths: list[str]) -> list[tuple]:
+    def _record(self, rows: DataFrame) -> None:
+        sinks.append_manifest(rows, f"{self.publication.folder}/_manifest")
+
+    def _isolated(self, plan: ReadPlan, files: Files) -> None:
         """A group at once, and by halves when it fails, so a bad file fails alone.
 
-        What a failed attempt has written is removed before the halves begin.
+        Only then do the names of its files come to the driver. What a failed
+        attempt has written goes before the halves begin; nothing of it was public.
         """
         before = self._written
         try:
-            return self._group(plan, paths)
+            records = self._group(plan, files)
         except Exception as error:
             for group in range(before, self._written + 1):
-                self._remove(f"{self.output}/schema_group={group}")
+                publishing.remove(self.spark, f"{self.publication.folder}/schema_group={group}")
             self._written = before
+            paths = files.named().paths
             if len(paths) > 1:
                 half = len(paths) // 2
-                return (self._isolated(plan, paths[:half]) + self._isolated(plan, paths[half:]))
-            return [self._failed(paths[0], plan, f"{type(error).__name__}: {error}")]
-
-    def _remove(self, path: str) -> None:
-        """Delete a folder in whatever file system it lies."""
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        place.getFileSystem(conf).delete(place, True)
-
-    def _group(self, plan: ReadPlan, paths: list[str]) -> list[tuple]:
-        decided = self.decide(plan, self.load(plan, paths))
-        by_shape: dict[Shape, list[str]] = defaultdict(list)
-        for path, (shape, _) in decided.items():
-            by_shape[shape].append(path)
-        prepared = [(shape, members, self.transform(plan, shape, self.load(plan, members)))
-                    for shape, members in by_shape.items()]
-        records = [self._failed(p, plan, "no rows could be read")
-                   for p in paths if p not in decided]
+                self._isolated(plan, files.some(paths[:half]))
+                self._isolated(plan, files.some(paths[half:]))
+                return
+            reason = f"{type(error).__name__}: {error}"
+            records = self._failed(files.frame, F.lit(reason), plan)
+        self._record(records)
+
+    def _group(self, plan: ReadPlan, files: Files) -> DataFrame:
+        decided = self.decide(plan, self.load(plan, files))
+        shapes = decided.groupBy("shape").agg(F.count("*").alias("n")).orderBy("shape").collect()
+        records = [self._failed(files.frame.join(decided.select("path"), "path", "left_anti"),
+                                F.lit("no rows could be read"), plan)]
+        prepared = []
+        for row in shapes:
+            members = decided.where(F.col("shape") == row["shape"])
+            some = files
+            if len(shapes) > 1:
+                some = replace(files, frame=members.select("path"), n=row["n"], paths=None,
+                               alone=False, alone_by_suffix=False)
+            shape = Shape.of(row["shape"])
+            prepared.append((shape, members, self.transform(plan, shape, self.load(plan, some))))
         for shape, members, rows in prepared:
-            group = self._write(rows)
-            records += self._succeeded(plan, shape, members, decided, group)
-        return records
+            records.append(self._succeeded(plan, shape, members, self._write(rows)))
+        return reduce(DataFrame.unionByName, records)
 
-    def _write(self, rows: DataFrame) -> int:
-        group = self._written
-        path, below = F.col(PATH), F.lit(self.below)
-        inside = F.substr(path, F.instr(path, below) + F.length(below))
-        placed = rows.withColumns({
-            "schema_group": F.lit(group),
+    def _inside(self, path: Column) -> dict[str, Column]:
+        inside = F.substr(path, F.lit(len(self.base) + 2))
+        return {
             "source_folder": F.when(inside.contains("/"), F.regexp_replace(
                 inside, "/[^/]*$", "")).otherwise(F.lit(".")),
             "source_file": F.substring_index(inside, "/", -1),
-        }).drop(PATH)
-        sinks.write_parquet_tree(placed, self.output)
+        }
+
+    def _write(self, rows: DataFrame) -> int:
+        group = self._written
+        placed = rows.withColumns({"schema_group": F.lit(group), **self._inside(F.col(PATH))})
+        sinks.write_parquet_tree(placed.drop(PATH), self.publication.folder)
         self._written += 1
         return group
 
-    def rows_out(self, group: int) -> dict[tuple[str, str], int]:
+    def rows_out(self, group: int) -> DataFrame:
         """Rows written per file; reads Parquet footers only."""
-        written = read_ingested(self.spark, self.output, group)
-        return {(r.source_folder, r.source_file): r.rows for r in
-                rows_per(written, ["source_folder", "source_file"]).collect()}
+        written = read_group(self.spark, self.publication.folder, group)
+        return rows_per(written, ["source_folder", "source_file"], "rows_out")
 
-    def _succeeded(self, plan, shape, members, decided, group) -> list[tuple]:
-        out = self.rows_out(group)
+    def _succeeded(self, plan: ReadPlan, shape: Shape, members: DataFrame,
+                   group: int) -> DataFrame:
         kinds = dict(shape.kinds)
-        names = list(kinds)
-        records = []
-        for path in members:
-            counts = decided[path][1]
-            inside = path.split(self.below, 1)[-1]
-            folder, _, name = inside.rpartition("/")
-            parsed = counts.get(f"{shape.date}__parsed") if shape.date else None
-            present = counts.get(f"{shape.date}__non_null") if shape.date else None
-            percent = None
-            if parsed is not None and counts["n_rows"]:
-                percent = 100.0 * parsed / counts["n_rows"]
-            records.append((
-                path, "success", counts["n_rows"], out.get((folder or ".", name), 0),
-                plan.folder_rule, plan.file_rule, shape.date, R.infer_text_columns(kinds),
-                R.infer_target_columns(names),
-                None if parsed is None or present is None else present - parsed, percent,
-                None if percent is None else percent < MIN_PARSE_PERCENT, group, None))
-        return records
-
-    def _failed(self, path: str, plan: ReadPlan | None, reason: str) -> tuple:
-        return (path, "failed", 0, 0, plan and plan.folder_rule, plan and plan.file_rule,
-                None, [], [], None, None, None, None, reason)
+        place = ["source_folder", "source_file"]
+        counted = members.withColumns(self._inside(F.col("path"))).join(
+            self.rows_out(group), place, "left")
+        percent = F.expr("if(n_rows > 0, 100.0D * n_parsed / n_rows, null)")
+        return self._manifest_rows(counted, plan, {
+            "status": F.lit("success"), "rows_in": F.col("n_rows"),
+            "rows_out": F.coalesce("rows_out", F.lit(0).cast("long")),
+            "date_column": F.lit(shape.date),
+            "text_columns": F.array(*map(F.lit, R.infer_text_columns(kinds))),
+            "target_columns": F.array(*map(F.lit, R.infer_target_columns(list(kinds)))),
+            "n_coerced": F.expr("n_present - n_parsed"), "valid_pct": percent,
+            "low_rate": percent < MIN_PARSE_PERCENT, "schema_group": F.lit(group)})
+
+    def _failed(self, files: DataFrame, reason: Column, plan: ReadPlan | None = None) -> DataFrame:
+        return self._manifest_rows(files, plan, {
+            "status": F.lit("failed"), "rows_in": F.lit(0), "rows_out": F.lit(0),
+            "text_columns": F.array(), "target_columns": F.array(), "error": reason})
+
+    def _manifest_rows(self, files: DataFrame, plan: ReadPlan | None,
+                       known: Mapping[str, Column]) -> DataFrame:
+        if plan is not None:
+            known = {**known, "folder_rule": F.lit(plan.folder_rule),
+                     "file_rule": F.lit(plan.file_rule)}
+        known = {**known, "input_file": F.col("path")}
+        return files.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                              for f in StructType.fromDDL(MANIFEST_SCHEMA)])
 
 
 def ingest(spark: SparkSession, root: str, output: str, **rules) -> DataFrame:
@@ -373,8 +538,25 @@ def ingest(spark: SparkSession, root: str, output: str, **rules) -> DataFrame:
     return Ingest(spark, root, output, **rules).run()
 
 
+def read_manifest(spark: SparkSession, output: str) -> DataFrame:
+    """The manifest of the published run."""
+    return spark.read.parquet(f"{_published(spark, output)}/_manifest")
+
+
 def read_ingested(spark: SparkSession, output: str, group: int) -> DataFrame:
-    """The cleaned rows of one schema group, with their source folder and file.
+    """The cleaned rows of one schema group of the published run, with their source."""
+    return read_group(spark, _published(spark, output), group)
+
+
+def _published(spark: SparkSession, output: str) -> str:
+    folder = publishing.committed(spark, output)
+    if folder is None:
+        raise FileNotFoundError(f"nothing has been published in {output}")
+    return folder
+
+
+def read_group(spark: SparkSession, folder: str, group: int) -> DataFrame:
+    """The rows of a group of a run.
 
     Folder names stay text, also where they look like numbers; Spark decides
     that when the path is read, by a session setting.
@@ -383,7 +565,7 @@ def read_ingested(spark: SparkSession, output: str, group: int) -> DataFrame:
     before = spark.conf.get(inference)
     spark.conf.set(inference, "false")
     try:
-        return spark.read.option("basePath", output).parquet(f"{output}/schema_group={group}")
+        return spark.read.option("basePath", folder).parquet(f"{folder}/schema_group={group}")
     finally:
         spark.conf.set(inference, before)
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickerloom.session import shared_dir
+
 # --- fixed values -----------------------------------------------------------
 DATA_SUFFIXES = [".csv", ".tsv", ".txt", ".parquet", ".json", ".jsonl", ".xlsx", ".xls"]
 SKIPPED_SUFFIXES = [".py", ".md", ".rst", ".sh", ".bat", ".ipynb"]
@@ -19,22 +24,87 @@ def suffix_of(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"^.+(\.[^.]+)$", 1))
 
 
+def is_hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return (name.startswith(".") or (name.startswith("_") and "=" not in name)
+            or name.endswith("._COPYING_"))
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root with its scheme, as Spark names the files below it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(path).toString().rstrip("/")
+
+
+def _children(batches: Iterator) -> Iterator:
+    """Task: what lies in each folder, one batch per 4,096 entries."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    def opened(folder: str):
+        scheme, _, rest = folder.partition(":")
+        if scheme == "file":
+            return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        authority, _, inner = rest.lstrip("/").partition("/")
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+        return system, "/".join(p for p in (base.rstrip("/"), inner) if p) or "/"
+
+    def sent(rows: list):
+        columns = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([
+            pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()),
+            pa.array(columns[2], pa.bool_()), pa.array(columns[3], pa.bool_())],
+            names=["path", "length", "hidden", "is_folder"])
+
+    for batch in batches:
+        for folder, hidden in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            system, inner = opened(folder)
+            rows = []
+            for info in system.get_file_info(fs.FileSelector(inner)):
+                inside = info.type == fs.FileType.Directory
+                if inside or info.type == fs.FileType.File:
+                    rows.append((f"{folder}/{info.base_name}", None if inside else info.size,
+                                 hidden or is_hidden(info.base_name), inside))
+                if len(rows) >= 4096:
+                    yield sent(rows)
+                    rows = []
+            if rows:
+                yield sent(rows)
+
+
+def list_tree(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, hidden) of every file below ``root``, empty and hidden ones too.
+
+    Folders are listed by tasks, one level of the tree after the other; a file
+    below a hidden folder is hidden.
+    """
+    shared_dir(spark)
+    base = qualified(spark, root)
+    folders = spark.createDataFrame([(base, False)], "path string, hidden boolean")
+    levels = []
+    while True:
+        found = folders.repartition("path").mapInArrow(
+            _children, "path string, length long, hidden boolean, is_folder boolean").checkpoint()
+        levels.append(found.where(~F.col("is_folder")).drop("is_folder"))
+        folders = found.where("is_folder").select("path", "hidden")
+        if not folders.head(1):
+            return reduce(DataFrame.unionByName, levels)
+
+
 def list_input_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, name, suffix, length) of the data files below ``root``, sorted.
+    """(path, length, hidden, name, suffix, wanted) of the files below ``root``.
 
-    File contents are not read: only listing columns are selected.
+    ``wanted`` are the data files; scripts, documents and files of other kinds are
+    not. File contents are not read.
     """
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", "length", "modificationTime")
-    )
     name = F.substring_index("path", "/", -1)
-    listed = listing.withColumns({"name": name, "suffix": suffix_of(name)})
-    return listed.where(
-        ~F.col("suffix").isin(SKIPPED_SUFFIXES)
+    return list_tree(spark, root).withColumns({
+        "name": name, "suffix": suffix_of(name)}).withColumn(
+        "wanted", ~F.col("suffix").isin(SKIPPED_SUFFIXES)
         & ~F.lower("name").isin(SKIPPED_NAMES)
-        & (F.col("suffix").isin(DATA_SUFFIXES) | (F.col("suffix") == ""))
-    ).orderBy("path")
+        & (F.col("suffix").isin(DATA_SUFFIXES) | (F.col("suffix") == "")))
 
 
 def glob_safe(path: str) -> str:
@@ -49,8 +119,10 @@ def source_path() -> Column:
         F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
-def probe_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, valid_utf8, open_quotes, head, sep) per text file, in one scan.
+def probe_text_files(spark: SparkSession, root: str, suffixes: list[str]) -> DataFrame:
+    """(path, valid_utf8, open_quotes, head, sep) per file of the suffixes, in one scan.
+
+    Files of other suffixes are left out by their names, before they are opened.
 
     ``valid_utf8`` decides the encoding: what is not UTF-8 is read as Latin-1,
     which accepts any byte. ``open_quotes`` marks files with a quoted field
@@ -62,7 +134,9 @@ def probe_text_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     value, block = F.col("value"), F.col("_metadata.file_block_start")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
     # Only first-split lines keep their text: the aggregate's rows stay narrow.
-    lines = spark.read.text([glob_safe(p) for p in paths]).select(
+    looked = spark.read.option("recursiveFileLookup", True).text(glob_safe(root)).where(
+        suffix_of(F.col("_metadata.file_name")).isin(suffixes))
+    lines = looked.select(
         source_path().alias("path"),
         F.is_valid_utf8(value).alias("valid"), (quotes % 2 == 1).alias("odd"),
         F.when((block == 0) & (value != ""), F.when(

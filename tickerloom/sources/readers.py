@@ -48,7 +48,7 @@ def _with_source(df: DataFrame) -> DataFrame:
 def read_delimited(spark: SparkSession, paths: list[str], names: list[str], *,
                    sep: str = ",", header: bool = True, encoding: str = "utf-8",
                    multiline: bool = False) -> DataFrame:
-    """Delimited text as string columns, with the source path and row place.
+    """Delimited text of files or folders as string columns, with source path and row place.
 
     Short rows are padded with nulls, rows with surplus values are dropped: one
     spare column catches the surplus. (A surplus value that is empty cannot be
@@ -60,7 +60,7 @@ def read_delimited(spark: SparkSession, paths: list[str], names: list[str], *,
         spark.read.schema(schema).option("sep", sep).option("header", header)
         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
         .option("multiLine", multiline).option("encoding", ENCODINGS.get(encoding, encoding))
-        .option("maxCharsPerColumn", -1)
+        .option("maxCharsPerColumn", -1).option("recursiveFileLookup", True)
         .csv([glob_safe(p) for p in paths])
     )
     kept = _with_source(raw).where(col(_SURPLUS).isNull())
@@ -77,21 +77,33 @@ def read_headerless(spark: SparkSession, paths: list[str], names: list[str],
     return read_delimited(spark, paths, names, header=False, **options)
 
 
-def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return _with_source(_flat(
-        spark.read.option("mergeSchema", True).parquet(*[glob_safe(p) for p in paths])))
+def any_case(suffix: str) -> str:
+    """A glob for names that end in ``suffix`` in any case."""
+    return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
 
 
-def read_json(spark: SparkSession, paths: list[str], lines: bool) -> DataFrame:
+def _below(spark: SparkSession, suffix: str | None):
+    """A reader of files or whole folders, of the latter only files of a suffix."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", any_case(suffix)) if suffix else reader
+
+
+def read_parquet(spark: SparkSession, paths: list[str], suffix: str | None = None) -> DataFrame:
+    return _with_source(_flat(_below(spark, suffix).option("mergeSchema", True).parquet(
+        *[glob_safe(p) for p in paths])))
+
+
+def read_json(spark: SparkSession, paths: list[str], lines: bool,
+              suffix: str | None = None) -> DataFrame:
     """JSON documents (``lines=False``) or one record per line.
 
     A file that holds no readable document is tried as lines; a malformed record
     is an error.
     """
     escaped = [glob_safe(p) for p in paths]
-    df = spark.read.option("multiLine", not lines).json(escaped)
+    df = _below(spark, suffix).option("multiLine", not lines).json(escaped)
     if not lines and df.columns == ["_corrupt_record"]:
-        df = spark.read.json(escaped)
+        df = _below(spark, suffix).json(escaped)
     if df.columns == ["_corrupt_record"]:
         raise ValueError("no readable JSON record")
     if "_corrupt_record" in df.columns:

@@ -29,6 +29,11 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("overwrite").parquet(path)
 
 
+def append_manifest(rows: DataFrame, path: str) -> None:
+    """Add the outcomes of some files to a manifest that nobody reads yet."""
+    rows.write.mode("append").parquet(path)
+
+
 def append_checkpoint(keys: DataFrame, path: str) -> None:
     """Record finished keys; call after their rows are written."""
     keys.select(keys[keys.columns[0]].cast("string")).write.mode("append").text(path)
