@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators import chat, tokens
 from tickerloom.plans import alpha_news as N
-from tickerloom.plans.chat_set import LABELLED_SCHEMA, chat_training_set
+from tickerloom.plans.chat_set import LabellingStopped, LABELLED_SCHEMA, chat_training_set
 from tickerloom.plans.token_set import token_dataset
 from tickerloom.sources import dims, readers, sinks
 from tickerloom.sources.contracts import news_table, prices_table
@@ -176,3 +176,77 @@ def test_news_resume(spark, tmp_path):
     # The progress was lost, the records were not: nothing is written twice.
     N.incremental_news(spark, *news_inputs(spark), records, str(tmp_path / "lost"))
     assert spark.read.json(records).count() == 2
+
+
+class Died(Exception):
+    pass
+
+
+def test_news_run_that_dies_is_repeated(spark, tmp_path):
+    """Between records and log, and again between log and the end."""
+    records, progress = str(tmp_path / "records"), str(tmp_path / "progress")
+
+    def die():
+        raise Died
+
+    for _ in range(2):
+        with pytest.raises(Died):
+            N.incremental_news(spark, *news_inputs(spark), records, progress, die)
+        assert spark.read.json(records).count() == 2
+        assert readers.read_checkpoint(spark, progress).count() == 0
+    assert N.incremental_news(spark, *news_inputs(spark), records, progress).count() == 50
+    assert spark.read.json(records).count() == 2
+    assert N.incremental_news(spark, *news_inputs(spark), records, progress).count() == 0
+
+
+def test_a_failing_labeller_keeps_earlier_batches(spark, tmp_path):
+    source = tmp_path / "in"
+    write_lines(source, "a.jsonl", [{"input": f"text {i}"} for i in range(40)])
+    paths = [str(source), str(tmp_path / "labelled"), str(tmp_path / "chat")]
+    calls = []
+
+    def failing(df):
+        calls.append(df.count())
+        if len(calls) == 3:
+            raise Died
+        return labeller(df)
+
+    with pytest.raises(LabellingStopped) as stopped:
+        chat_training_set(spark, *paths, failing, batch_rows=10)
+    kept = sum(calls[:2])
+    assert stopped.value.newly_labelled == stopped.value.chat_records == kept and 0 < kept < 40
+    assert readers.read_chat_dataset(spark, paths[2]).count() == kept
+    rest = chat_training_set(spark, *paths, labeller, batch_rows=10).first()
+    assert (rest.newly_labelled, rest.chat_records) == (40 - kept, 40)
+
+
+def test_a_run_without_its_log_is_logged_again(spark, tmp_path):
+    import shutil
+
+    source = tmp_path / "in"
+    write_lines(source, "a.jsonl", [{"input": "one"}, {"input": "two"}])
+    paths = [str(source), str(tmp_path / "labelled"), str(tmp_path / "chat")]
+    chat_training_set(spark, *paths, labeller)
+    shutil.rmtree(tmp_path / "labelled" / "_log")
+    again = chat_training_set(spark, *paths, labeller).first()
+    assert (again.newly_labelled, again.chat_records) == (0, 2)
+
+
+def test_a_stream_does_not_read_its_old_records(spark, tmp_path):
+    """Rows read by a run: its inputs and the records of the run before."""
+    source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "p")
+    read = []
+    for run in range(4):
+        write_lines(source, f"{run}.jsonl", [{"input": f"{run} {i}"} for i in range(5)]
+                    + [{"input": "0 0"}, {"input": f"bad {run}"}])
+        query = incremental_label(spark, arriving_json(spark, str(source), "input string"), out,
+                                  progress, lambda df: df.withColumn("output", F.when(
+                                      ~F.col("input").startswith("bad"),
+                                      "Sentiment: Neutral Decision: HOLD")))
+        query.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+    got = readers.read_jsonl_lenient(spark, out, LABELLED_SCHEMA).collect()
+    # "0 0" twice in the first run, as copies in one run all stay.
+    assert sorted(r.input for r in got) == sorted(
+        [f"{run} {i}" for run in range(4) for i in range(5)] + ["0 0"])
+    assert read[1] == 7 + 6 and read[2] == read[3] == 7 + 5

@@ -122,6 +122,49 @@ def chat_training_set(spark: SparkSession, sf: str) -> DataFrame:
         chat.render_chat(F.col("messages")).alias("text"))
 
 
+class Crash(Exception):
+    pass
+
+
+def incremental_news(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs, the first of which dies between its records and its log."""
+    base = f"{shared_dir(prepare(spark))}/news-{uuid.uuid4().hex}"
+    companies, keywords = companies_and_keywords(spark, sf)
+    inputs = (news(spark, sf), alpha_queries.prices(spark, sf),
+              alpha_queries.benchmark(spark, sf), companies, keywords)
+
+    def crash() -> None:
+        raise Crash
+
+    for written in (crash, lambda: None, lambda: None):
+        try:
+            N.incremental_news(spark, *inputs, f"{base}/records", f"{base}/done", written)
+        except Crash:
+            pass
+    records = readers.read_jsonl_lenient(
+        spark, f"{base}/records", "ticker long, company_name string, published_date string, "
+                                  "news_text string, true_alpha int")
+    done = readers.read_checkpoint(spark, f"{base}/done").select(
+        F.col("ticker").cast("long").alias("ticker"), F.lit(True).alias("checkpointed"))
+    return records.join(done, "ticker", "left")
+
+
+def newly_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of three labelling runs: over labelled documents, over all, over all again."""
+    base = f"{shared_dir(prepare(spark))}/newly-{uuid.uuid4().hex}"
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("input"))
+    marked = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    responses = known_responses(spark, sf)
+    found = []
+    for run, texts in enumerate([marked, docs, docs]):
+        sinks.overwrite_jsonl(texts.select("input"), f"{base}/inputs{run}")
+        counts = chat_set.chat_training_set(
+            spark, f"{base}/inputs{run}", f"{base}/labelled", f"{base}/chat",
+            lambda df: chat.label_from_table(df, responses))
+        found.append(counts.withColumn("run", F.lit(run)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def infer_roles(spark: SparkSession, sf: str) -> DataFrame:
     """Column roles of four tables."""
     found = []
@@ -165,6 +208,8 @@ def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "ingest_files": ingest_files,
     "alpha_news_records": alpha_news_records,
+    "incremental_news": incremental_news,
+    "newly_labelled": newly_labelled,
     "news_contract": news_contract,
     "prices_contract": prices_contract,
     "label_batches": label_batches,
@@ -271,3 +316,14 @@ SELECT '<|im_start|>system' || chr(10) || {_SYSTEM_SQL} || '<|im_end|>' || chr(1
        || '<|im_start|>assistant' || chr(10) || output || '<|im_end|>' || chr(10) AS text
 FROM documents d JOIN known k ON d.text = k.text""",
 }
+ORACLES["incremental_news"] = f"""
+SELECT ticker, company_name, published_date, news_text, true_alpha, TRUE AS checkpointed
+FROM ({ORACLES["alpha_news_records"]})"""
+ORACLES["newly_labelled"] = f"""WITH {_LABELLED},
+hits AS (SELECT d.doc_id, d.text FROM documents d JOIN known k ON d.text = k.text),
+first AS (SELECT * FROM hits WHERE doc_id IN (SELECT doc_id FROM labels)),
+second AS (SELECT * FROM hits WHERE text NOT IN (SELECT text FROM first)),
+counts AS (SELECT (SELECT count(*) FROM first) AS a, (SELECT count(*) FROM second) AS b)
+SELECT 0 AS run, a AS newly_labelled, a AS chat_records FROM counts
+UNION ALL SELECT 1, b, a + b FROM counts
+UNION ALL SELECT 2, 0, a + b FROM counts"""

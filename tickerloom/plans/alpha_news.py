@@ -7,14 +7,17 @@ join once at the end, for the articles that are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickerloom.functions.labels import binary_alpha_label
 from tickerloom.operators import alpha as A
 from tickerloom.operators import columns, filters, joins, matching, ranking
 from tickerloom.operators.aggregates import kept_per_group
-from tickerloom.sources import readers, sinks
+from tickerloom.sources import readers, runs, sinks
 
 RECORD_COLUMNS = ["ticker", "company_name", "published_date", "news_text", "true_alpha"]
 
@@ -94,21 +97,31 @@ def to_labelling_input(records: DataFrame) -> DataFrame:
 
 def incremental_news(spark: SparkSession, news: DataFrame, prices: DataFrame,
                      benchmark: DataFrame, companies: DataFrame, keywords: DataFrame,
-                     records_path: str, checkpoint_path: str) -> DataFrame:
+                     records_path: str, checkpoint_path: str,
+                     written: Callable[[], None] = lambda: None) -> DataFrame:
     """Label the companies not done yet; returns the companies of this run.
 
-    Records are appended before the checkpoint, so a crash in between repeats
-    companies rather than losing them; records a repeat would write twice are
-    left out. A company without records is checkpointed too.
+    A company is done if the checkpoint names it or the log beside the records does.
+    A run that dies is repeated with the same companies into the same folder, so it
+    neither loses nor doubles records; old records are not read. A company without
+    records is done too. ``written`` is called between records and log.
     """
-    done = readers.read_checkpoint(spark, checkpoint_path)
-    pending = joins.skip_completed(companies, done, "ticker")
-    records = alpha_news(news, prices, benchmark, pending, keywords).select(*RECORD_COLUMNS)
-    schema = records.schema
-    present = readers.read_jsonl_lenient(spark, records_path, schema)
-    key = F.sha2(F.to_json(F.struct(*RECORD_COLUMNS)), 256)
-    fresh = records.withColumn("__key", key).join(
-        present.select(key.alias("__key")).distinct(), "__key", "left_anti").drop("__key")
-    sinks.append_jsonl(fresh, records_path)
-    sinks.append_checkpoint(pending.select("ticker"), checkpoint_path)
-    return pending
+    key = companies.select("ticker").schema
+    text = StructType([StructField("ticker", StringType())])
+
+    def pending() -> DataFrame:
+        done = readers.read_checkpoint(spark, checkpoint_path).unionByName(
+            runs.logged(spark, records_path, text))
+        return joins.skip_completed(
+            companies.select(F.col("ticker").cast("string")), done, "ticker")
+
+    run = runs.Run(spark, records_path, pending, text)
+    wanted = companies.join(run.keys.select(
+        F.col("ticker").cast(key["ticker"].dataType).alias("ticker")), "ticker", "left_semi")
+    run.write(alpha_news(news, prices, benchmark, wanted, keywords).select(*RECORD_COLUMNS))
+    written()
+    sinks.overwrite_checkpoint(run.keys, f"{checkpoint_path}/run={run.run}")
+    keys = run.keys.checkpoint()
+    run.finish()
+    return companies.join(keys.select(
+        F.col("ticker").cast(key["ticker"].dataType).alias("ticker")), "ticker", "left_semi")

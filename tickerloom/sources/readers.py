@@ -119,7 +119,7 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.to_json(col(n)) for n in nested}) if nested else df
 
 
-def _or_empty(spark: SparkSession, load, schema) -> DataFrame:
+def rows_or_none(spark: SparkSession, load, schema) -> DataFrame:
     """``load()``, or no rows when the path is not there yet."""
     try:
         return load()
@@ -129,18 +129,23 @@ def _or_empty(spark: SparkSession, load, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_jsonl_lenient(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """JSON lines with malformed ones skipped; a missing path has no rows."""
+def read_jsonl_lenient(spark: SparkSession, path: str | list[str],
+                       schema: str | StructType) -> DataFrame:
+    """JSON lines with malformed ones skipped; a missing path has no rows.
+
+    Folders are read with all folders below, but for hidden ones.
+    """
     wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     read_as = StructType([*wanted.fields, StructField("_corrupt_record", StringType())])
 
     def load() -> DataFrame:
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-        lines = spark.read.text(path).where(F.trim("value") != "")
+        lines = spark.read.option("recursiveFileLookup", True).text(path).where(
+            F.trim("value") != "")
         parsed = lines.select(F.from_json("value", read_as, options).alias("r")).select("r.*")
         return parsed.where("_corrupt_record is null").drop("_corrupt_record")
 
-    return _or_empty(spark, load, wanted)
+    return rows_or_none(spark, load, wanted)
 
 
 def read_chat_dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -151,6 +156,7 @@ def read_chat_dataset(spark: SparkSession, path: str) -> DataFrame:
 def read_checkpoint(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
     """The keys done so far, one per line."""
     def load() -> DataFrame:
-        return spark.read.text(path).select(trim_ws(F.col("value")).alias(key)).distinct()
+        return spark.read.option("recursiveFileLookup", True).text(path).select(
+            trim_ws(F.col("value")).alias(key)).distinct()
 
-    return _or_empty(spark, load, f"{key} string")
+    return rows_or_none(spark, load, f"{key} string")

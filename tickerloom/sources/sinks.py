@@ -37,3 +37,8 @@ def append_manifest(rows: DataFrame, path: str) -> None:
 def append_checkpoint(keys: DataFrame, path: str) -> None:
     """Record finished keys; call after their rows are written."""
     keys.select(keys[keys.columns[0]].cast("string")).write.mode("append").text(path)
+
+
+def overwrite_checkpoint(keys: DataFrame, path: str) -> None:
+    """Record the keys of one run; repeating it leaves one copy."""
+    keys.select(keys[keys.columns[0]].cast("string")).write.mode("overwrite").text(path)
