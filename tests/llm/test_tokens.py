@@ -153,3 +153,15 @@ def test_groups_fill_their_bins_apart(spark):
         some.sort()
         assert [o for o, _ in some] == [sum(n for _, n in some[:i]) for i in range(len(some))]
         assert sum(n for _, n in some) <= 1000
+
+
+def test_packing_goes_through_any_white_space(spark):
+    """A run of blanks that the fast encoder's pattern cannot go through."""
+    texts = [" " * 2_000_000 + "x", "a\n" + "\n" * 1_000_000, "plain text"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = pieces.load_tokenizer(pieces.vocabulary("byte_bpe_50k.json"))
+    got = {}
+    for r in packing.token_pieces(df, with_ids=True).orderBy("doc_id", "start").collect():
+        got.setdefault(r["doc_id"], []).extend(r["ids"])
+    for i, text in enumerate(texts):
+        assert got[i] == library.encode(text, add_special_tokens=False).ids + [packing.END_ID]

@@ -58,6 +58,19 @@ def _encoder(path: str):
                              mergeable_ranks=pieces.load_ranks(path), special_tokens=SPECIAL)
 
 
+def _ids(encoder, path: str, part: str) -> np.ndarray:
+    """A part's ids; what the fast encoder's pattern cannot go through goes to the tokenizer.
+
+    Its pattern backtracks over a run of white space, and gives up on very long ones.
+    """
+    try:
+        return np.asarray(encoder.encode_to_numpy(part, allowed_special="all"))
+    except ValueError:
+        whole = path.removesuffix(".tiktoken") + ".json"
+        tokenizer = worker_memo(f"tokenizer {whole}", lambda: pieces.load_tokenizer(whole))
+        return np.array(tokenizer.encode(part, add_special_tokens=False).ids, np.uint32)
+
+
 def token_pieces(df: DataFrame, text: str = "text", keep: Iterable[str] | None = None,
                  tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY,
                  with_ids: bool = False) -> DataFrame:
@@ -83,8 +96,7 @@ def token_pieces(df: DataFrame, text: str = "text", keep: Iterable[str] | None =
         for batch in batches:
             rows, made, crcs, ids = [], [], [], []
             for row, value in enumerate(batch.column(len(keep)).to_pylist()):
-                parts = [np.asarray(encoder.encode_to_numpy(part, allowed_special="all"))
-                         for part in pieces.segments(value)]
+                parts = [_ids(encoder, path, part) for part in pieces.segments(value)]
                 doc = np.concatenate([*parts, last]).astype("<u4")
                 start = 0
                 for length in cut_lengths(len(doc), capacity):
