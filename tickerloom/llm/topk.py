@@ -13,10 +13,11 @@ distance until the triangle inequality shows that nothing nearer can follow.
 Products are integers, so the scores are exact; bounds on distances have slack
 for rounding.
 
-Defined results: vectors that are null, empty, of another length than most, or
-hold null or non-finite components take no part, nor do rows with a null id; an
-id that occurs twice takes part once, with its smallest vector; ties go to the
-smaller id; an empty table gives no rows.
+Defined results: vectors that are null, empty, or hold null or non-finite components
+take no part, nor do rows with a null id; vectors are scored against those of their
+own length; an id that occurs twice takes part once, with its smallest vector; ties
+go to the smaller id; a component or a score that no long holds counts as the long
+nearest to it; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,14 +36,15 @@ RINGS = 8  # annuli of a pivot
 BLOCK = 2048  # vectors in a block, queries in a part
 STEP = 128  # vectors searched at once in a block
 _SLACK = 1e-6  # relative, on squared distances
-_LOWEST = -(1 << 62)  # below any score
+_LOWEST = -(1 << 63)  # below any score
+_MOST = (1 << 63) - 1
 
 
 class Index:
     """Pivots and annulus edges, fitted on a bounded sample; used to place any vector."""
 
-    def __init__(self, sample: np.ndarray, radius2: int):
-        self.radius2 = float(radius2)
+    def __init__(self, sample: np.ndarray, radius2: float):
+        self.radius2 = radius2
         lifted = self.lift(sample)
         chosen = [0] if len(lifted) else []
         near = np.full(len(lifted), np.inf)
@@ -195,7 +197,7 @@ def _search(index: Index, k: int):
                 for s in np.unique(step[active]):
                     rows = active[step[active] == s]
                     some = slice(steps[s], steps[s] + STEP)
-                    scores = qv[rows] @ v[some].T
+                    scores = _products(qv[rows], v[some])
                     scores = np.where(ids[some] == qid[rows][:, None],
                                       _LOWEST, scores)
                     _keep_best(best, best_id, rows, scores, ids[some], k)
@@ -233,11 +235,21 @@ def _search(index: Index, k: int):
     return run
 
 
+def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products; sums may wrap on the way, and are right where the product fits."""
+    exact = q @ x.T
+    if (np.abs(q).max(initial=0).astype(float) * np.abs(x).max(initial=0).astype(float)
+            * q.shape[1] < 2.0 ** 62):
+        return exact
+    rough = q.astype(float) @ x.astype(float).T
+    return np.where(rough >= 2.0 ** 63, _MOST, np.where(rough <= -2.0 ** 63, -_MOST, exact))
+
+
 def _keep_best(best, best_id, rows, scores, ids, k: int) -> None:
     """Merges new scores into the k best of each row; ties go to the smaller id."""
     scores = np.hstack([best[rows], scores])
     names = np.hstack([best_id[rows], np.broadcast_to(ids, (len(rows), len(ids)))])
-    order = np.lexsort((names, -scores), axis=1)[:, :k]
+    order = np.lexsort((names, ~scores), axis=1)[:, :k]
     best[rows] = np.take_along_axis(scores, order, 1)
     best_id[rows] = np.take_along_axis(names, order, 1)
 
@@ -260,17 +272,27 @@ def top_k(df: DataFrame, query: Column, id: str = "vec_id", vector: str = "embed
     ``query`` is a condition on the column ``id``.
     """
     spark = arrow_ready(df.sparkSession)
-    whole = whole_vectors(df, id, vector, scale).checkpoint()
-    widths = whole.groupBy(F.size("v").alias("width")).count().orderBy(
-        F.desc("count"), "width").limit(1).collect()
-    if widths:
-        whole = whole.where(F.size("v") == widths[0]["width"])
-    else:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    radius2 = whole.agg(F.max(norm)).first()[0] or 0
-    sample = whole.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    index = Index(np.array([r["v"] for r in sample], np.int64).reshape(len(sample), -1), radius2)
+    every = whole_vectors(df, id, vector, scale).checkpoint()
+    widths = sorted(r[0] for r in every.select(F.size("v")).distinct().collect())
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for width in widths:
+        found = found.unionByName(_top_k(every.where(F.size("v") == width), query, k))
+    return found
+
+
+def _sample(whole: DataFrame) -> np.ndarray:
+    """The ``SAMPLE`` vectors with the smallest hashes of their ids, which are found first."""
+    hashed = whole.withColumn("hash", F.xxhash64("id"))
+    low = hashed.select("hash").orderBy("hash").limit(SAMPLE).collect()
+    chosen = hashed.where(F.col("hash") <= low[-1]["hash"]).select("hash", "id", "v").collect()
+    return np.array([r["v"] for r in sorted(chosen, key=lambda r: (r["hash"], r["id"]))], np.int64)
+
+
+def _top_k(whole: DataFrame, query: Column, k: int) -> DataFrame:
+    """The search among vectors of one length, of which there are some."""
+    spark = whole.sparkSession
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    index = Index(_sample(whole), whole.agg(F.max(square)).first()[0])
     placed = whole.mapInArrow(_place(index), PLACED).checkpoint()
     cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("distance").alias("low"),
                                        F.max("distance").alias("high")).collect()
