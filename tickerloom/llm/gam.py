@@ -209,8 +209,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     some = (docs.join(F.broadcast(picked), docs[id] == F.col("__id"))
             .select("__id", "__label", F.col(f"`{text}`").alias("__doc")))
     rows = map_texts(some, "__doc", "x array<double>",
-                     lambda: lambda texts: {"x": measure(texts).tolist()},
-                     ["__id", "__label"]).collect()
+                     lambda: lambda texts: {"x": measure(texts).tolist()}, ["__id", "__label"])
+    # An id that several documents share trains with one of them.
+    rows = rows.groupBy("__id", "__label").agg(F.min("x").alias("x")).collect()
     rows.sort(key=lambda r: r["__id"])
     return fit(np.array([r["x"] for r in rows]).reshape(len(rows), len(NAMES)),
                np.array([r["__label"] for r in rows], float))
