@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -51,9 +52,29 @@ def test_top_k_leaves_unsound_vectors_out(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"])
            for r in topk.top_k(df, F.expr("id % 50 = 0")).orderBy("rank").collect()]
     assert got == [(0, 1, 1, 128 * 256), (0, 2, 7, 0)]
+    assert df.where("vec_id = 8").count() == 1  # alone in its length
     assert topk.top_k(df.limit(0), F.expr("id % 50 = 0")).count() == 0
 
 
+def test_top_k_of_large_components_and_several_lengths(spark):
+    """Exact where a score fits a long, though norms do not; the nearest long where not."""
+    big = [2e7, 1.0, -2e7, 3e15, 1e30, 0.5, 7.25, -3e15]
+    rows = [(i, [b, float(i)]) for i, b in enumerate(big)]
+    rows += [(100 + i, [float(i), 1.0, 2.0]) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, F.expr("id % 50 <= 5")).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    most = 2 ** 63 - 1
+    for length in (2, 3):
+        whole = {i: [max(-most - 1, min(most, int(np.floor(256 * x)))) for x in v]
+                 for i, v in rows if len(v) == length}
+        for q in (i for i in whole if i % 50 <= 5):
+            scores = sorted((-max(-most, min(most, sum(a * b for a, b in zip(whole[q], v)))), i)
+                            for i, v in whole.items() if i != q)[:5]
+            assert got[q] == [(i, -s) for s, i in scores]
+
+
 def by_article(page):
     inner = page[page.index("<article>") + 9:page.index("</article>")]
     parts = re.split(r"</?(?:p|h[1-6]|br|ul|li|table|tr|td|th|pre|blockquote|div)\b[^>]*>", inner)
@@ -93,7 +114,47 @@ def test_long_attributes_and_self_closed_elements():
             '<svg a="b"/><p>three</p><iframe src="u" /><p>four</p><svg><p>gone</p></svg>')
     assert [(b.text, b.path) for b in crf.blocks(page)] == [
         ("One", ("div", "p")), ("two", ("div",)), ("three", ("p",)), ("four", ("p",))]
-    crf.blocks('<a b="' * 3000)
+
+
+@pytest.mark.parametrize("piece", ['<a b="', "<a b='\"", "<a ", "<b>x", "<div>x", "<", "<a x='>\"",
+                                   "</p", "<div class=c><p>x", "<!-- ", "<svg>", "&"])
+def test_broken_pages_of_a_megabyte(piece):
+    began = time.time()
+    crf.blocks(piece * (1_000_000 // len(piece)))
+    crf.blocks(piece * (1_000_000 // len(piece)) + ">")
+    assert time.time() - began < 20
+
+
+def test_tag_ends_equal_a_scan_of_each_tag():
+    """Where quotes are open or not, and none, one or both kinds are used."""
+    draw = np.random.default_rng(5)
+    tag = re.compile("""(?:[^>"']|"[^"]*+"|'[^']*+')*+>""")
+    for _ in range(300):
+        page = "".join(draw.choice(list("<>\"'ab "), 40))
+        ends = crf.TagEnds(page)
+        for place in draw.permutation(len(page)):
+            expected = tag.match(page, place)
+            assert ends.end(place) == (expected.end() - 1 if expected else -1)
+
+
+def test_deep_elements_keep_their_text():
+    page = "<div>a" * 2000 + "</div>b" * 2000 + "<p>c"
+    assert "".join(b.text for b in crf.blocks(page)) == "a" * 2000 + "b" * 2000 + "c"
+    assert crf.blocks(page)[-1].path == ("p",)
+
+
+def test_pages_that_mark_no_article(spark):
+    words = "some words of a paragraph that is long enough to be told from a menu entry. "
+    pages = [(i, f"<html><body><nav><a>Home {i}</a></nav><div><p>{words * 2}{i}.</p><p>{words}{i}!"
+              f"</p></div><footer>Copyright {i}</footer></body></html>") for i in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    got = {r["page_id"]: r["text"] for r in crf.main_text(df, crf.fit(df)).collect()}
+    assert got[3] == f"{words * 2}3. {words}3!"
+    upper = df.withColumn("html", F.expr("replace(replace(html, '<div>', '<ARTICLE>'), '</div>', "
+                                         "'</ARTICLE>')"))
+    got = {r["page_id"]: r["text"] for r in crf.main_text(upper, crf.fit(upper)).collect()}
+    assert got[3] == f"{words * 2}3. {words}3!"
+    assert len(crf.sampled(upper.unionByName(upper), "page_id", "html", 7)) == 7
 
 
 def test_viterbi_and_likelihood_agree_with_enumeration():

@@ -12,7 +12,8 @@ anew in other common layouts, in which the same blocks keep their labels, so the
 model does not lean on one tag.
 
 Defined results: a null page is empty; a page without main blocks gives an empty
-text; malformed and unclosed markup is read as far as it goes; attribute values may
+text; a table in which no page marks its article trains on what lengths, links and
+marks say; malformed and unclosed markup is read as far as it goes; attribute values may
 have any length; a self-closed element holds nothing; repeated rows come back
 repeated; an empty table gives no rows.
 """
@@ -21,8 +22,11 @@ from __future__ import annotations
 
 import html as html_entities
 import re
-from collections.abc import Iterable
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +35,8 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import map_texts, table, without
 
 FIT_PAGES = 40  # labelled pages, those with the smallest hashes of their ids
+FIT_BLOCKS = 80  # blocks of a labelled page that train, half of them its first ones
+DEPTH = 512  # of nested elements
 SIZE = 1 << 12  # hashed features
 STEPS, RATE, PENALTY = 80, 0.4, 2e-4
 
@@ -44,9 +50,9 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "select")
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+_OPENING = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>\"']*)", re.S)
+_SPECIAL = re.compile(r"[>\"']")
 _CUT_OFF = re.compile(r"<[a-zA-Z/!][^>]*$")
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
@@ -63,10 +69,67 @@ class Block:
     linked: int = 0  # characters inside links
 
 
+class TagEnds:
+    """Where the tags of a page end, by quotes; each quote is looked at once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.specials = [m.start() for m in _SPECIAL.finditer(page)]
+        self.known: dict[int, int] = {}
+
+    def end(self, place: int) -> int:
+        """The place of the ``>`` that ends a tag open at ``place``, -1 for none."""
+        walked = []
+        while True:
+            i = bisect_left(self.specials, place)
+            if i == len(self.specials):
+                end = -1
+                break
+            special = self.specials[i]
+            if special in self.known:
+                end = self.known[special]
+                break
+            walked.append(special)
+            if self.page[special] == ">":
+                end = special
+                break
+            closing = self.page.find(self.page[special], special + 1)
+            if closing < 0:
+                end = -1
+                break
+            place = closing + 1
+        self.known.update(dict.fromkeys(walked, end))
+        return end
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str | None, str | None, str]]:
+    """(start, end, slash, name, attributes) of comments (without name) and tags."""
+    ends = TagEnds(page)
+    at = 0
+    while (found := _OPENING.search(page, at)) is not None:
+        name = found.group(2)
+        if name is None:
+            at = yield found.start(), found.end(), None, None, ""
+            continue
+        end = ends.end(found.end())
+        if end < 0:
+            at = found.end()  # no tag: it stays text
+            continue
+        at = yield (found.start(), end + 1, found.group(1), name.lower(),
+                    page[found.end():end])
+
+
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in order."""
+    """The leaf blocks of a page, in order.
+
+    Elements more than ``DEPTH`` deep are taken as children of the last one that is
+    not, as browsers do.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    # (tag, tags from the root, words of all marks)
+    stack: list[tuple[str, tuple[str, ...], frozenset]] = []
+    open_tags: Counter = Counter()
+    deeper: Counter = Counter()  # open elements that are too deep for the stack
     parts: list[str] = []
     linked = at = 0
 
@@ -74,46 +137,60 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            tags = tuple(t for t, _ in stack)
-            marks = frozenset().union(*(m for _, m in stack))
+            _, tags, marks = stack[-1] if stack else ("", (), frozenset())
             found.append(Block(text, tags, marks, min(linked, len(text))))
         parts.clear()
         linked = 0
 
+    def leave() -> str:
+        name = stack.pop()[0]
+        open_tags[name] -= 1
+        return name
+
     def say(raw: str) -> None:
         nonlocal linked
         if raw:
             text = html_entities.unescape(raw)
             parts.append(text)
-            if any(t == "a" for t, _ in stack):
+            if open_tags["a"]:
                 linked += len(text)
 
-    while at < len(page):
-        token = _TOKEN.search(page, at)
-        if token is None:
-            say(_CUT_OFF.sub("", page[at:]))
-            break
-        say(page[at:token.start()])
-        at = token.end()
-        name = token.group(2)
-        if name is None:
-            continue
-        name = name.lower()
+    walk = tokens(page)
+    token = next(walk, None)
+    while token is not None:
+        start, end, slash, name, attributes = token
+        say(page[at:start])
+        at = end
         if name in BLOCKS:
             close()
-        if token.group(1):
-            if any(t == name for t, _ in stack):
-                while stack.pop()[0] != name:
+        if name is None:
+            pass
+        elif slash:
+            if deeper[name]:
+                deeper[name] -= 1
+            elif open_tags[name]:
+                while leave() != name:
                     pass
-        elif name in RAW and not token.group(3).endswith("/"):
-            end = _RAW_END[name].search(page, at)
-            at = len(page) if end is None else end.end()
-        elif name not in VOID and not token.group(3).endswith("/"):
+                deeper.clear()
+        elif name in RAW and not attributes.endswith("/"):
+            over = _RAW_END[name].search(page, at)
+            at = len(page) if over is None else over.end()
+        elif name not in VOID and not attributes.endswith("/"):
             if name in CLOSES_ITSELF and stack and stack[-1][0] == name:
-                stack.pop()
-            marks = frozenset(w for m in _ATTRIBUTE.finditer(token.group(3))
-                              for g in m.groups() if g for w in _WORD.findall(g.lower()))
-            stack.append((name, marks))
+                leave()
+            if len(stack) >= DEPTH:
+                deeper[name] += 1
+            else:
+                marks = frozenset(w for m in _ATTRIBUTE.finditer(attributes)
+                                  for g in m.groups() if g for w in _WORD.findall(g.lower()))
+                _, tags, above = stack[-1] if stack else ("", (), frozenset())
+                stack.append((name, (*tags, name), above if marks <= above else above | marks))
+                open_tags[name] += 1
+        try:
+            token = walk.send(at)
+        except StopIteration:
+            token = None
+    say(_CUT_OFF.sub("", page[at:]))
     close()
     return found
 
@@ -328,18 +405,47 @@ def layouts(found: list[Block], labels: list[bool], seed: int) -> list[tuple]:
     return made
 
 
+def sampled(pages: DataFrame, id: str, html: str, count: int) -> list[str]:
+    """The pages with the ``count`` smallest hashes; the hashes are found before the pages."""
+    hashed = pages.select(F.xxhash64(F.col(f"`{id}`")).alias("a"),
+                          F.xxhash64(F.col(f"`{html}`")).alias("b"), F.col(f"`{html}`").alias("html"))
+    low = hashed.select("a", "b").distinct().orderBy("a", "b").limit(count).collect()
+    if not low:
+        return []
+    wanted = reduce(lambda x, y: x | y, [
+        (F.col("a") == r["a"]) & (F.col("b") == r["b"]) for r in low])
+    chosen = hashed.where(wanted).groupBy("a", "b").agg(F.first("html").alias("html")).collect()
+    return [r["html"] for r in sorted(chosen, key=lambda r: (r["a"], r["b"]))]
+
+
+def told_by_text(page: str) -> tuple[list[Block], list[bool]]:
+    """A page's blocks; long ones with few links that no mark speaks against are main."""
+    found = blocks(page)
+    return found, [len(b.text.split()) >= 12 and 5 * b.linked < len(b.text)
+                   and not b.marks & _CHROME_MARKS and not _CHROME_TAGS & set(b.path)
+                   for b in found]
+
+
 def fit(pages: DataFrame, id: str = "page_id", html: str = "html",
-        fit_pages: int = FIT_PAGES) -> Chain:
-    """Trains on at most ``fit_pages`` pages that mark their article."""
-    sample = (pages.where(F.col(f"`{html}`").contains("<article"))
-              .orderBy(F.xxhash64(F.col(f"`{id}`")), F.xxhash64(F.col(f"`{html}`")))
-              .select(F.col(f"`{html}`").alias("html")).limit(fit_pages).collect())
+        fit_pages: int = FIT_PAGES, fit_blocks: int = FIT_BLOCKS) -> Chain:
+    """Trains on at most ``fit_pages`` pages that mark their article.
+
+    Of a page with more than ``fit_blocks`` blocks the first and the last ones train.
+    In a table where no page marks its article, pages are labelled by their blocks'
+    lengths, links and marks instead.
+    """
+    page = F.col(f"`{html}`")
+    label = marked
+    sample = sampled(pages.where(F.lower(page).contains("<article")), id, html, fit_pages)
+    if not sample:
+        label = told_by_text
+        sample = sampled(pages.where(page.isNotNull()), id, html, fit_pages)
     labelled = []
-    for seed, row in enumerate(sample):
-        # Long pages teach as much by their first blocks and their last ones.
-        found, labels = marked(row["html"])
-        if len(found) > 80:
-            found, labels = found[:40] + found[-40:], labels[:40] + labels[-40:]
+    half = fit_blocks // 2
+    for seed, text in enumerate(sample):
+        found, labels = label(text)
+        if len(found) > fit_blocks:
+            found, labels = found[:half] + found[-half:], labels[:half] + labels[-half:]
         labelled += [(found, labels), *layouts(found, labels, seed)]
     return train(labelled)
 
