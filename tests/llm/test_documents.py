@@ -4,12 +4,14 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
 from tickerloom.llm import gam, minhash, passages, quality_rules, sharding
 from tickerloom.llm import shingles as sh
 from tickerloom.llm.components import components
+from tests.oracle import differences
 
 DDL = "doc_id long, text string, source string, n_words string, __row long, component string"
 
@@ -56,23 +58,51 @@ def test_base_rules(spark, odd):
 
 
 def test_frequent_lines_go_but_copies_stay(spark):
+    """Exact copies are one document; near copies are, where the caller says so."""
     chance = random.Random(5)
     menu = "Home   About Contact"
-    rows = [(i, f"{menu}\n{prose(chance, 80)}\n{prose(chance, 80)}", "a") for i in range(30)]
+    rows = [(i, f"{menu}\n{prose(chance, 80)}\n{prose(chance, 80)}", "a", i) for i in range(30)]
     story = f"{prose(chance, 90)}\n{prose(chance, 90)}"
-    rows += [(100 + i, story, "a") for i in range(40)]  # copies
-    rows += [(200 + i, f"{story}\nedit number {i}", "a") for i in range(40)]  # near copies
+    rows += [(100 + i, story, "a", 100) for i in range(40)]  # copies
+    near = [(200 + i, f"{story}\nedit number {i}", "a", 100) for i in range(40)]
     junk = "\n".join([menu] * 30)
-    rows += [(300, junk + "\n" + prose(chance, 20), "a"), (301, f"{menu}\n{prose(chance, 60)}", "b")]
+    rows += [(300, junk + "\n" + prose(chance, 20), "a", 300),
+             (301, f"{menu}\n{prose(chance, 60)}", "b", 301)]
+    ddl = "doc_id long, text string, source string, family long"
+    docs, both = (spark.createDataFrame(r, ddl) for r in (rows, rows + near))
+    for frame, identity in ((docs, None), (docs, "family"), (both, "family")):
+        got = {r["doc_id"]: r for r in quality_rules.quality_rules(frame, identity=identity).collect()}
+        assert all(got[i]["n_removed_words"] == 3 and got[i]["kept"] for i in range(30))
+        copies = [r for i, r in got.items() if 100 <= i < 300]
+        assert all(r["n_removed_words"] == 0 and r["kept"] for r in copies)
+        assert not got[300]["kept"] and got[301]["n_removed_words"] == 0
+        clean = {r["doc_id"]: r["text"] for r in
+                 quality_rules.kept_documents(frame, identity=identity).collect()}
+        assert clean.keys() == {i for i, r in got.items() if r["kept"]}
+        assert menu not in clean[0] and clean[100] == story and menu in clean[301]
+    got = quality_rules.quality_rules(both).where("doc_id between 100 and 299").collect()
+    assert not any(r["kept"] for r in got)  # 41 distinct documents hold each line
+
+
+@pytest.mark.parametrize("shared,own", [(1, 10), (2, 15), (3, 15), (2, 400)])
+def test_depleted_documents_are_rejected(spark, shared, own, tmp_path):
+    """600 documents on 10 hosts, each with the host's lines and words of its own."""
+    chance = random.Random(shared * 100 + own)
+    rows = []
+    for host in range(10):
+        lines = [prose(chance, 40, 10**6) for _ in range(shared)]
+        rows += [(60 * host + i, "\n".join([*lines, prose(chance, own, 10**6)]), f"h{host}")
+                 for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs).collect()}
-    assert all(got[i]["n_removed_words"] == 3 and got[i]["kept"] for i in range(30))
-    assert all(got[100 + i]["n_removed_words"] == 0 and got[100 + i]["kept"] for i in range(40))
-    assert all(got[200 + i]["kept"] for i in range(40))
-    assert not got[300]["kept"] and got[301]["n_removed_words"] == 0
-    clean = {r["doc_id"]: r["text"] for r in quality_rules.kept_documents(docs).collect()}
-    assert clean.keys() == {i for i, r in got.items() if r["kept"]}
-    assert menu not in clean[0] and clean[100] == story and menu in clean[301]
+    got = quality_rules.quality_rules(docs, keep=["doc_id"])
+    found = got.collect()
+    assert {r["n_removed_words"] for r in found} == {40 * shared}
+    assert {r["kept"] for r in found} == {own == 400}
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert differences(got.toPandas(), con.sql(
+        quality_rules.ORACLES["op1_quality_rules"]).df()) == []
 
 
 def test_several_frequent_lines_of_a_host_go(spark):

@@ -1,17 +1,14 @@
 """Quality rules: word and line rules of a text, and line frequency across documents.
 
 Everything runs in built-in column functions. Lines are normalised (lower case,
-runs of white space as one space, trimmed) and hashed. For every host and line
-the distinct documents are counted by what else they hold. A document's own lines
-are those that at most ``MAX_DOCUMENTS`` distinct texts of the host hold. With more
-than ``OWN_PERCENT`` of its words in them it stands under one of them, else it is
-taken for a near copy and stands under one of all its other lines: that with the
-smallest hash divided by its number of words, so copies and near copies mostly
-stand under the same. A line is over the
-limit if it stands in more than ``MAX_DOCUMENTS`` documents that differ so, and
-these are at least half of the distinct texts that hold it; the lines of a much
-copied document are thus not taken for boilerplate. Lines over the limit are
-removed, and a document is rejected if too few words remain.
+runs of white space as one space, trimmed) and hashed. For every host and line the
+distinct documents that hold it are counted; a line in more than ``MAX_DOCUMENTS``
+of them is over the limit. Lines over the limit are removed, and a document is
+rejected if too few words remain.
+
+Documents are distinct if their texts differ. A caller who knows more, such as the
+components of near duplicates, names a column of identities instead, so that the
+many copies of one document do not make boilerplate of its lines.
 
 Defined results: a null text has no words and fails the base rules; a null host
 is a host of its own; repeated rows come back repeated; input columns named like
@@ -29,7 +26,6 @@ from tickerloom.llm.common import arrow_ready, table, without
 
 MAX_DOCUMENTS = 10  # documents of a host that may hold a line
 LEAST_PERCENT = 30  # words that have to remain
-OWN_PERCENT = 20  # a text with fewer words of its own is a near copy
 WHITE = r"[\x20\x09-\x0D]+"
 
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -88,49 +84,38 @@ def base_measures(df: DataFrame, text: str, keep: Iterable[str]) -> DataFrame:
         "n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
 
 
-def frequent_lines(base: DataFrame, max_documents: int) -> DataFrame:
-    """(host, line) of lines in more than ``max_documents`` differing documents of the host."""
-    texts = (base.dropDuplicates(["__host", "__digest"])
-             .withColumn("__lines", F.array_distinct("__lines")))
-    held = texts.select(F.col("__host").alias("host"), F.col("__digest").alias("digest"),
-                        F.explode("__lines").alias("one")).select(
-        "host", "digest", F.col("one.line").alias("line"), F.col("one.words").alias("words"))
-    often = (held.groupBy("host", "line").agg(F.count("*").alias("n"))
-             .where(F.col("n") > max_documents).select("host", "line", F.lit(True).alias("often")))
-    rank = F.struct((F.col("line") / F.col("words")).alias("rank"), "line")
-    known = held.join(often, ["host", "line"], "left").groupBy("host", "digest").agg(
-        F.min(F.when(F.col("often").isNull(), rank)).alias("own"),
-        F.sum(F.when(F.col("often").isNull(), F.col("words")).otherwise(0)).alias("own_words"),
-        F.sum("words").alias("all_words"),
-        F.slice(F.array_sort(F.collect_list(rank)), 1, 2).alias("low"),
-        F.collect_list(F.when(F.col("often"), F.col("line"))).alias("lines"))
-    lines = (known.select(
-        "host", "low", F.explode("lines").alias("line"),
-        F.expr(f"if(100 * own_words > {OWN_PERCENT} * all_words, own.line, null)").alias("own"))
-        .select("host", "line", F.expr(
-            "coalesce(own, if(line = low[0].line, coalesce(get(low, 1).line, low[0].line), "
-            "low[0].line))").alias("stands")))
-    return (lines.groupBy("host", "line", "stands").agg(F.count("*").alias("n_texts"))
-            .groupBy("host", "line").agg(F.count("*").alias("n_documents"),
-                                         F.sum("n_texts").alias("n_texts"))
-            .where((F.col("n_documents") > max_documents)
-                   & (2 * F.col("n_documents") >= F.col("n_texts"))).select("host", "line"))
-
-
-def measured(df: DataFrame, text: str, host: str, keep: Iterable[str],
-             max_documents: int, least_percent: int) -> tuple[DataFrame, DataFrame]:
+def frequent_lines(base: DataFrame, max_documents: int, by_identity: bool) -> DataFrame:
+    """(host, line) of lines in more than ``max_documents`` distinct documents of the host.
+
+    Copies of a text collapse before lines become rows; lines of a document count
+    once, also where several texts are one document.
+    """
+    texts = base.dropDuplicates(["__host", "__digest", "__identity"])
+    held = texts.select(F.col("__host").alias("host"), "__identity", F.explode(
+        F.array_distinct(F.transform("__lines", lambda x: x["line"]))).alias("line"))
+    if by_identity:
+        held = held.distinct()
+    return (held.groupBy("host", "line").agg(F.count("*").alias("n"))
+            .where(F.col("n") > max_documents).select("host", "line"))
+
+
+def measured(df: DataFrame, text: str, host: str, keep: Iterable[str], max_documents: int,
+             least_percent: int, identity: str | None) -> tuple[DataFrame, DataFrame]:
     """Verdicts by row id, and (row id, line) of the lines over the limit."""
     arrow_ready(df.sparkSession)
-    df = df.withColumn("__host", F.coalesce(F.col(f"`{host}`"), F.lit("\0")))
-    base = (base_measures(df, text, [*keep, "__host"]).withColumn("__row", F.monotonically_increasing_id())
-            .checkpoint())
+    df = df.withColumns({
+        "__host": F.coalesce(F.col(f"`{host}`"), F.lit("\0")),
+        "__identity": F.lit("") if identity is None else F.col(f"`{identity}`")})
+    base = (base_measures(df, text, [*keep, "__host", "__identity"])
+            .withColumn("__row", F.monotonically_increasing_id()).checkpoint())
     lines = (base.select("__row", F.col("__host").alias("host"), F.explode("__lines").alias("one"))
              .select("__row", "host", F.col("one.line").alias("line"),
                      F.col("one.words").alias("words")))
-    over = lines.join(frequent_lines(base.select("__host", "__digest", "__lines"),
-                                     max_documents), ["host", "line"])
+    over = lines.join(frequent_lines(
+        base.select("__host", "__digest", "__identity", "__lines"), max_documents,
+        identity is not None), ["host", "line"])
     removed = over.groupBy("__row").agg(F.sum("words").cast("long").alias("removed"))
-    verdicts = (base.drop("__lines", "__host", "__digest").join(removed, "__row", "left")
+    verdicts = (base.drop("__lines", "__host", "__digest", "__identity").join(removed, "__row", "left")
                 .withColumn("n_removed_words", F.coalesce("removed", F.lit(0).cast("long")))
                 .drop("removed")
                 .withColumn("kept", F.expr(
@@ -141,23 +126,27 @@ def measured(df: DataFrame, text: str, host: str, keep: Iterable[str],
 
 def quality_rules(df: DataFrame, text: str = "text", host: str = "source",
                   keep: Iterable[str] | None = None, max_documents: int = MAX_DOCUMENTS,
-                  least_percent: int = LEAST_PERCENT) -> DataFrame:
-    """``keep`` (all columns but the text), the measures and ``kept``."""
+                  least_percent: int = LEAST_PERCENT, identity: str | None = None) -> DataFrame:
+    """``keep`` (all columns but the text), the measures and ``kept``.
+
+    ``identity`` names a column that tells documents apart; a null one is one document.
+    """
     keep = without(df, [text, *RESULTS]).columns if keep is None else list(keep)
-    verdicts, _ = measured(df, text, host, keep, max_documents, least_percent)
+    verdicts, _ = measured(df, text, host, keep, max_documents, least_percent, identity)
     return verdicts.select(*[F.col(f"`{c}`") for c in keep], *RESULTS)
 
 
 def kept_documents(df: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source",
                    max_documents: int = MAX_DOCUMENTS,
-                   least_percent: int = LEAST_PERCENT) -> DataFrame:
+                   least_percent: int = LEAST_PERCENT, identity: str | None = None) -> DataFrame:
     """The documents that pass, without their lines over the limit.
 
     Rows are told apart by id and text, so equal rows share one verdict.
     """
     mark = F.xxhash64(F.col(f"`{id}`"), F.col(f"`{text}`"))
     marked = df.withColumn("__mark", mark)
-    verdicts, over = measured(marked, text, host, ["__mark"], max_documents, least_percent)
+    verdicts, over = measured(marked, text, host, ["__mark"], max_documents, least_percent,
+                              identity)
     bad = over.groupBy("__row").agg(F.collect_set("line").alias("__bad"))
     passed = (verdicts.where("kept").join(bad, "__row", "left").select("__mark", "__bad")
               .dropDuplicates(["__mark"]))
@@ -197,20 +186,9 @@ lines AS (
          ('0x' || substr(md5(trim(lower(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g')))), 1, 15))
          ::BIGINT AS line
   FROM (SELECT r, host, unnest(ls) AS x FROM parts)),
-once AS (
-  SELECT DISTINCT host, t, line, n FROM (SELECT r, host, line, n FROM lines)
-  JOIN (SELECT r, t FROM docs) USING (r)),
-low AS (
-  SELECT host, t, list_sort(list({{'rank': line / n, 'line': line}})) AS low
-  FROM once GROUP BY host, t),
 frequent AS (
-  SELECT host, line FROM (
-    SELECT host, line, stands, count(*) AS n_texts FROM (
-      SELECT host, line, CASE WHEN line = low[1].line THEN coalesce(low[2].line, low[1].line)
-                         ELSE low[1].line END AS stands
-      FROM once JOIN low USING (host, t))
-    GROUP BY host, line, stands)
-  GROUP BY host, line HAVING count(*) > {MAX_DOCUMENTS} AND 2 * count(*) >= sum(n_texts)),
+  SELECT host, line FROM (SELECT DISTINCT host, t, line FROM lines JOIN (SELECT r, t FROM docs) USING (r))
+  GROUP BY host, line HAVING count(*) > {MAX_DOCUMENTS}),
 removed AS (
   SELECT r, sum(n)::BIGINT AS removed FROM lines JOIN frequent USING (host, line) GROUP BY r),
 counts AS (
