@@ -325,6 +325,63 @@ def test_exact_passages_behind_a_frequent_line_equal_brute_force(spark):
     assert all(set(range(40, 100)) <= words for words in hit.values())
 
 
+def hits_of(spark, rows):
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    hit = defaultdict(set)
+    for r in found.collect():
+        hit[r["id"]].update(range(r["start"], r["start"] + r["n_words"]))
+    return hit
+
+
+def test_near_passages_of_frequent_lines_are_found(spark):
+    """Two lines, each held by an earlier document, with one word between in the second copy."""
+    chance = random.Random(29)
+    rows = []
+    for n in range(20):
+        one, two = prose(chance, 30, 10**6), prose(chance, 30, 10**6)
+        rows += [(1000 * k + n, f"{prose(chance, 60, 10**6)} {text} {prose(chance, 60, 10**6)}")
+                 for k, text in enumerate((one, two, f"{one} {two}", f"{one} extra {two}"))]
+    hit = hits_of(spark, rows)
+    assert hit.keys() == {3000 + n for n in range(20)}
+    assert all(set(range(60, 121)) <= hit[3000 + n] for n in range(20))
+
+
+def test_near_passages_in_a_crowd_equal_brute_force(spark):
+    """Passages of frequent lines with edits; all pairs of documents by brute force."""
+    chance = random.Random(31)
+    lines = [prose(chance, 24, 10**6) for _ in range(12)]
+    rows = []
+    for i in range(120):  # holders of single lines
+        rows.append((i, f"{prose(chance, 40, 10**6)} {chance.choice(lines)} {prose(chance, 40, 10**6)}"))
+    for n in range(40):
+        some = chance.sample(lines, 3)
+        for k in (0, 1):
+            text = " ".join(some) if not k else edited(chance, " ".join(some), 1 + n % 3)
+            rows.append((1000 + 2 * n + k,
+                         f"{prose(chance, 40, 10**6)} {text} {prose(chance, 40, 10**6)}"))
+    hit = hits_of(spark, rows)
+    width = 46
+    tokens = {i: sh.shingle_hashes(sh.WordHashes()(sh.words_of(t)), 5).astype(np.uint32)
+              for i, t in rows}
+    expected = set()
+    for j in tokens:
+        for i in tokens:
+            if i < j and passages.shared(tokens[j], passages.Hub(tokens[i]), width, 0.8):
+                expected.add(j)
+    assert len(expected) > 30
+    assert hit.keys() <= expected
+    assert len(hit.keys() & expected) >= 0.95 * len(expected)
+
+
+def test_one_row_per_maximal_passage(spark):
+    chance = random.Random(37)
+    a, b = prose(chance, 60, 10**6), prose(chance, 60, 10**6)
+    rows = [(3, f"{a} {b}"), (1, a), (2, f"{a} {b}"), (4, f"x {a} {b} y"), (5, b)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r["id"], r["start"], r["n_words"], r["source"]) for r in found.collect())
+    assert got == [(2, 0, 60, 1), (3, 0, 120, 2), (4, 1, 120, 2), (5, 0, 60, 2)]
+
+
 def changed(chance, text, every, how):
     words = text.split()
     for i in range(len(words) - len(words) % every - every // 2, 0, -every):
