@@ -109,9 +109,35 @@ def word_hashes(texts: list[str]) -> list[np.ndarray]:
                     np.searchsorted(np.concatenate(begins), ends))
 
 
+def window_hashes(x: np.ndarray, k: int) -> np.ndarray:
+    """The hash of each ``k`` neighbours, put together from halves; none of fewer."""
+    n = len(x) - k + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    made, size, power, width = None, 0, x, 1
+    while True:
+        if k & width:
+            made = power if made is None else _joined(made, power, size)
+            size += width
+        if size == k:
+            return made[:n]
+        power, width = _joined(power, power, width), 2 * width
+
+
+def _joined(x: np.ndarray, y: np.ndarray, gap: int) -> np.ndarray:
+    """Hashes of what ``x`` stands for at each place and ``y`` stands for ``gap`` behind."""
+    n = min(len(x), len(y) - gap)
+    out = x[:n] * _ODD
+    out += y[gap:gap + n]
+    out ^= out >> _SHIFT
+    out *= _MIX
+    out ^= out >> _SHIFT
+    return out
+
+
 def whole_shingles(words: list[np.ndarray], k: int) -> list[np.ndarray]:
     """The hashes of ``k`` words in a row of each text; none of a text with fewer words."""
     counts = [len(w) for w in words]
-    made = shingle_hashes(np.concatenate(words), k) if sum(counts) >= k else np.zeros(0, np.uint64)
+    made = window_hashes(np.concatenate(words), k)
     starts = np.cumsum(counts) - counts
     return [made[s:s + max(0, n - k + 1)] for s, n in zip(starts.tolist(), counts)]
