@@ -73,6 +73,14 @@ def test_time_alone_is_null_and_gap_fill_is_optional(spark):
     assert iso(D.parse_mixed(df, "v", "p", gap_fill=True)) == [None, "2020-05-26 00:00:00", None]
 
 
+def test_clocks_with_bars_and_other_text_are_null(spark):
+    df = spark.createDataFrame(list(enumerate([
+        "2020-05-26 12|30|15|||", "2020-05-26 |", "2020-05-26 12:30 pm|", "2020-05-26 noon",
+        "2020-05-26 12:30:15.25 PM +05:30", "2020-05-26 7"])), "i int, v string")
+    assert iso(D.parse_mixed(df, "v", "p")) == [
+        None, None, None, None, "2020-05-26 07:00:15", "2020-05-26 07:00:00"]
+
+
 def test_exact(spark):
     df = spark.createDataFrame([(0, "20200526"), (1, "2020-05-26"), (2, "20200526.0"),
                                 (3, "20201301"), (4, None)], "i int, v string")

@@ -70,6 +70,24 @@ def test_frequent_and_rare_tokens_get_one_id_each(spark, monkeypatch, limit):
                for r in known)
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_texts_encode_as_token_rows_do(spark, monkeypatch, limit):
+    monkeypatch.setattr(tokens, "BROADCAST_BYTES", limit)
+    df = spark.createDataFrame(
+        [(1, "a b a c d e"), (2, "b, x"), (3, None), (4, ""), (5, " "), (6, "b, x")],
+        "id int, t string")
+    rows = tokens.token_rows(df, ["id"], "t")
+    for vocab in [(all_of := tokens.vocabulary(rows)), all_of.where("token <> 'a'"),
+                  all_of.where("false")]:
+        def listed(chunks):
+            return [tuple(r) for r in chunks.orderBy("id", "chunk_no").collect()]
+
+        got = listed(tokens.encode_texts(df, vocab, ["id"], "t", max_length=4))
+        assert got == listed(tokens.encode_chunks(rows, vocab, ["id"], max_length=4))
+        assert [(r[0], r[1], len(r[2])) for r in got] == [
+            (1, 0, 4), (1, 1, 2), (2, 0, 3), (6, 0, 3)]
+
+
 def test_prompt_and_render(spark):
     df = spark.createDataFrame([("x" * 15001, "out")], "input string, output string")
     prompt = chat.build_prompts(df).first().messages

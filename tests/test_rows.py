@@ -141,4 +141,6 @@ def test_roles(spark):
 def test_best_score_and_restored_order(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 1)], "name string, score int")
     assert ranking.best_score(df, "score", "name").first().name == "a"
-    assert [r.name for r in dedup.restore_order(df, ["score", "name"]).collect()] == ["c", "a", "b"]
+    placed = df.unionByName(df).withColumn("place", F.monotonically_increasing_id())
+    first = dedup.dedup_keep_unlabelled(placed, [], "place")
+    assert first.orderBy("place").drop("place").collect() == df.collect()

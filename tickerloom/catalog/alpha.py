@@ -74,7 +74,14 @@ def alpha_label_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce(F.sum(F.when(label == 0, F.col("n"))), F.lit(0)).alias("n_down"))
 
 
+def recent_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The closes of each ticker's last seven days."""
+    return A.recent_window(prices(spark, sf)).select("ticker", iso(F.col("date")).alias("date"),
+                                                     "close")
+
+
 QUERIES = {
+    "recent_prices": recent_prices,
     "forward_alpha": forward_alpha,
     "benchmark_align": benchmark_align,
     "forward_return": forward_returns,
@@ -112,6 +119,9 @@ matched AS (
     ON e.ticker = f.ticker AND e.event_date < f.date)"""
 
 ORACLES = {
+    "recent_prices": f"""WITH {_PRICES}
+SELECT ticker, strftime(date, '%Y-%m-%d') AS date, close FROM prices
+QUALIFY date > max(date) OVER (PARTITION BY ticker) - INTERVAL 7 DAY""",
     "forward_alpha": f"""WITH {_PRICES}, {_EVENTS}
 SELECT l_orderkey, l_linenumber, ticker, strftime(event_date, '%Y-%m-%d') AS event_date,
        alpha, CAST(alpha > 0 AS INTEGER) AS label

@@ -55,8 +55,9 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
-    tokens = T.token_rows(conversation_chats(spark, sf), KEYS, "text")
-    return T.encode_chunks(tokens, T.vocabulary(tokens), KEYS)
+    chats = conversation_chats(spark, sf)
+    vocab = T.vocabulary(T.token_rows(chats, KEYS, "text"))
+    return T.encode_texts(chats, vocab, KEYS, "text")
 
 
 def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,8 +71,8 @@ def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
 def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, most of them several slices long."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    tokens = T.token_rows(docs, ["doc_id"], "text")
-    chunks = T.encode_chunks(tokens, T.vocabulary(tokens), ["doc_id"])
+    vocab = T.vocabulary(T.token_rows(docs, ["doc_id"], "text"))
+    chunks = T.encode_texts(docs, vocab, ["doc_id"], "text")
     return chunks.select("doc_id", "chunk_no", F.size("input_ids").alias("n_ids"),
                          F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"))
 

@@ -35,6 +35,16 @@ def parse_dates_mixed(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", "raw", D.to_iso_utc(F.col("ts")).alias("ts"))
 
 
+def parse_dates_gap_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Year-day-month text, which only the second, free-form reading can tell."""
+    source = rendered(spark, sf).join(table(spark, sf, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-dd-MM").alias("swapped")), "o_orderkey")
+    source = source.select("o_orderkey", F.when(F.col("raw") == "foo", F.col("swapped"))
+                           .otherwise(F.col("raw")).alias("raw"))
+    return D.parse_mixed(source, "raw", "ts", gap_fill=True).select(
+        "o_orderkey", "raw", D.to_iso_utc(F.col("ts")).alias("ts"))
+
+
 def parse_dates_dayfirst(spark: SparkSession, sf: str) -> DataFrame:
     return D.parse_mixed(rendered(spark, sf), "raw", "ts", day_first=True).select(
         "o_orderkey", "raw", D.to_iso_utc(F.col("ts")).alias("ts"))
@@ -73,6 +83,7 @@ def date_parse_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "parse_dates_mixed": parse_dates_mixed,
+    "parse_dates_gap_fill": parse_dates_gap_fill,
     "parse_dates_dayfirst": parse_dates_dayfirst,
     "parse_dates_complex": parse_dates_complex,
     "parse_dates_exact": parse_dates_exact,
@@ -105,6 +116,12 @@ _OUT = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 ORACLES = {
     "parse_dates_mixed": f"""WITH {_RENDERED}
 SELECT o_orderkey, raw, {_OUT.format(_parsed(True))} AS ts FROM rendered""",
+    "parse_dates_gap_fill": f"""WITH {_RENDERED}, swapped AS (
+  SELECT o_orderkey, CASE WHEN raw = 'foo' THEN strftime(o_orderdate, '%Y-%d-%m')
+                          ELSE raw END AS raw
+  FROM rendered JOIN orders USING (o_orderkey))
+SELECT o_orderkey, raw, {_OUT.format("coalesce(" + _parsed(True)
+    + ", try_strptime(raw, '%Y-%m-%d'), try_strptime(raw, '%Y-%d-%m'))")} AS ts FROM swapped""",
     "parse_dates_dayfirst": f"""WITH {_RENDERED}
 SELECT o_orderkey, raw, {_OUT.format(_parsed(False))} AS ts FROM rendered""",
     "parse_dates_complex": f"""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.catalog.tables import table
-from tickerloom.plans.ingest import ingest, read_ingested, totals
+from tickerloom.plans.ingest import ingest, read_in_order, read_ingested, totals
 from tickerloom.session import prepare, shared_dir
 
 
@@ -23,13 +23,13 @@ def orders_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _place(spark: SparkSession, raw: str, folder: str, name: Callable[[int], str]) -> None:
-    """Move the part files of a written folder to ``folder/<n>/<name>``."""
+    """Move the part files of a written folder to ``folder/<n>/<name>``, n of five digits."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(raw).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     parts = sorted(s.getPath().toString() for s in system.listStatus(path(raw))
                    if s.getPath().getName().startswith("part-"))
     for number, part in enumerate(parts):
-        target = path(f"{folder}/{number}/{name(number)}")
+        target = path(f"{folder}/{number:05d}/{name(number)}")
         system.mkdirs(target.getParent())
         system.rename(path(part), target)
 
@@ -43,12 +43,15 @@ def _written(spark: SparkSession, write: Callable[[str], None], name: Callable[[
     return base
 
 
+def _groups(manifest: DataFrame) -> list[int]:
+    return sorted(r.schema_group for r in manifest.where("status = 'success'")
+                  .select("schema_group").distinct().collect())
+
+
 def _read_back(spark: SparkSession, base: str, *columns: Column) -> DataFrame:
     manifest = ingest(spark, f"{base}/in", f"{base}/out")
-    groups = [r.schema_group for r in manifest.where("status = 'success'")
-              .select("schema_group").distinct().collect()]
     return reduce(DataFrame.unionByName, [
-        read_ingested(spark, f"{base}/out", g).select(*columns) for g in sorted(groups)])
+        read_ingested(spark, f"{base}/out", g).select(*columns) for g in _groups(manifest)])
 
 
 def _orders_back(spark: SparkSession, base: str) -> DataFrame:
@@ -81,12 +84,12 @@ def ingest_json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_json_array(spark: SparkSession, sf: str) -> DataFrame:
-    """Files that are one JSON array each."""
-    arrays = orders_text(spark, sf).groupBy(F.pmod(F.xxhash64("code"), F.lit(4)).alias("file")).agg(
+    """Files that are one JSON array each, of the orders of 65,536 neighbouring keys."""
+    arrays = orders_text(spark, sf).groupBy(F.expr("cast(code as long) div 65536").alias("file")).agg(
         F.to_json(F.collect_list(F.struct("code", "content", "date"))).alias("value"))
     return _orders_back(spark, _written(
-        spark, lambda p: arrays.repartition(4, "file").select("value").write.option(
-            "maxRecordsPerFile", 1).text(p), "o.json"))
+        spark, lambda p: arrays.select("value").write.option("maxRecordsPerFile", 1).text(p),
+        "o.json"))
 
 
 def ingest_skipped_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,7 +156,86 @@ def ingest_with_a_bad_file(spark: SparkSession, sf: str) -> DataFrame:
     return totals(ingest(spark, f"{base}/in", f"{base}/out"))
 
 
+def ingest_latin1(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in Latin-1 beside others in UTF-8, both with accented labels."""
+    rows = orders_text(spark, sf).select(
+        "code", F.concat(F.lit("Café "), "content").alias("content"),
+        F.when(F.col("code").cast("long") % 3 == 0, "très élevé").otherwise("ça baisse")
+         .alias("sentiment"))
+    even = F.col("code").cast("long") % 2 == 0
+
+    def write(part: DataFrame, encoding: str) -> Callable[[str], None]:
+        return lambda p: part.write.option("header", True).option("encoding", encoding).csv(p)
+
+    base = _written(spark, write(rows.where(even), "ISO-8859-1"), "o.csv", "/latin1")
+    write(rows.where(~even), "UTF-8")(f"{base}/raw2")
+    _place(spark, f"{base}/raw2", f"{base}/in/utf8", lambda _: "o.csv")
+    return _read_back(spark, base, F.col("code").cast("long").alias("code"), "content",
+                      "sentiment", F.substring_index("source_folder", "/", 1).alias("encoding"))
+
+
+def ingest_dropped_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Header cells without a name: one file rule and one folder rule drop their columns."""
+    rows = orders_text(spark, sf)
+    by_file = rows.select(F.col("content").alias("Text"), F.col("date").alias("Date"),
+                          F.lit("x").alias(" "), "code")
+    base = _written(spark, lambda p: by_file.write.option("header", True).csv(p),
+                    "GNEW_list_2021_processed.csv")
+    by_folder = rows.select(
+        F.lit("0").alias(" "), "code", F.col("content").alias("text"),
+        F.concat_ws("-", *[F.get(F.split("date", "-"), F.lit(i)) for i in (2, 1, 0)])
+        .alias("date"), F.lit("y").alias("  "))
+    by_folder.write.option("header", True).csv(f"{base}/raw2")
+    _place(spark, f"{base}/raw2", f"{base}/in/Business News Description with sentiment",
+           lambda _: "news.csv")
+    manifest = ingest(spark, f"{base}/in", f"{base}/out")
+    found = []
+    for group in _groups(manifest):
+        back = read_ingested(spark, f"{base}/out", group)
+        names = ",".join(sorted(set(back.columns) - {
+            "schema_group", "source_folder", "source_file"}))
+        found.append(back.select(
+            F.lit(names).alias("names"), F.col("source_file"),
+            F.col("code").cast("long").alias("code"), F.col("text").alias("content"),
+            F.col("date").cast("string").alias("date")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def ingest_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in falling order, each twice; the output keeps the order and the first copies."""
+    copies = F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")
+    key = F.col("code").cast("long")
+    rows = (orders_text(spark, sf).select("*", copies).repartitionByRange(4, key.desc())
+            .sortWithinPartitions("copy", key.desc()).drop("copy"))
+    base = _written(spark, lambda p: rows.write.option("header", True).csv(p), "o.csv")
+    manifest = ingest(spark, f"{base}/in", f"{base}/out", keep_order=True)
+    (group,) = _groups(manifest)
+    return read_in_order(spark, f"{base}/out", group).select(
+        "line", F.col("code").cast("long").alias("code"), "content",
+        F.col("date").cast("string").alias("date"))
+
+
+def ingest_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run over other files takes the place of the first one's output."""
+    first = orders_text(spark, sf)
+    base = _written(spark, lambda p: first.write.option("header", True).csv(p), "old.csv")
+    ingest(spark, f"{base}/in", f"{base}/out")
+    rows = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("content"))
+    rows.write.option("header", True).csv(f"{base}/raw2")
+    _place(spark, f"{base}/raw2", f"{base}/new", lambda _: "new.csv")
+    manifest = ingest(spark, f"{base}/new", f"{base}/out")
+    return reduce(DataFrame.unionByName, [
+        read_ingested(spark, f"{base}/out", g).select(
+            "source_file", F.col("code").cast("long").alias("code"), "content")
+        for g in _groups(manifest)])
+
+
 QUERIES = {
+    "ingest_latin1": ingest_latin1,
+    "ingest_dropped_columns": ingest_dropped_columns,
+    "ingest_in_order": ingest_in_order,
+    "ingest_replaced": ingest_replaced,
     "ingest_tsv": ingest_tsv,
     "ingest_sniffed": ingest_sniffed,
     "ingest_parquet": ingest_parquet,
@@ -178,6 +260,18 @@ ORACLES = {
         "ingest_tsv", "ingest_sniffed", "ingest_parquet", "ingest_json_lines",
         "ingest_json_array", "ingest_renamed", "ingest_exact_dates")},
     "ingest_skipped_dates": _ORDERS.replace(" || ' 00:00:00'", ""),
+    "ingest_latin1": f"""
+SELECT o_orderkey AS code, 'caf ' || {_CONTENT} AS content,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'Très Élevé' ELSE 'Ça Baisse' END AS sentiment,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'latin1' ELSE 'utf8' END AS encoding
+FROM orders""",
+    "ingest_dropped_columns": f"""
+SELECT 'code,date,text' AS names, f.source_file, o.* FROM ({_ORDERS}) o,
+  (VALUES ('GNEW_list_2021_processed.csv'), ('news.csv')) f(source_file)""",
+    "ingest_in_order": f"""
+SELECT row_number() OVER (ORDER BY code DESC) AS line, * FROM ({_ORDERS})""",
+    "ingest_replaced": """
+SELECT 'new.csv' AS source_file, p_partkey AS code, lower(p_name) AS content FROM part""",
     "ingest_agreement": """
 SELECT DISTINCT lower(p_name) AS text,
        upper(p_brand[1]) || lower(p_brand[2:]) AS sentiment FROM part""",

@@ -9,6 +9,8 @@ from tickerloom.catalog.tables import table
 from tickerloom.functions import text as X
 
 SAMPLE_LEAD = "They're sure it's "
+PLAIN = "".join(chr(c) for c in range(0x21, 0x7F))
+WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
 SAMPLE_TAIL = " and WON'T say what's in there; I'd say we couldn't."
 
 
@@ -44,7 +46,14 @@ def text_steps(spark: SparkSession, sf: str) -> DataFrame:
         X.fill_empty(F.nullif(F.col("url"), F.lit(""))).alias("url_text"))
 
 
+def compatibility_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents in full-width letters and ligatures, brought back by NFKC."""
+    wide = F.translate(F.replace("text", F.lit("fi"), F.lit("\ufb01")), PLAIN, WIDE)
+    return table(spark, sf, "documents").select("doc_id", X.nfkc(wide).alias("text"))
+
+
 QUERIES = {
+    "compatibility_forms": compatibility_forms,
     "normalize_text": normalize_text,
     "strip_html": strip_html,
     "contractions": contractions,
@@ -84,6 +93,7 @@ NORMALIZED_SQL = _collapse("lower(regexp_replace(" + _contract(
     + ", '[^\\x00-\\x7F]', '', 'g'))")
 
 ORACLES = {
+    "compatibility_forms": "SELECT doc_id, text FROM documents",
     "normalize_text": f"""
 WITH src AS (
   SELECT 'd' || doc_id AS row_key, text FROM documents

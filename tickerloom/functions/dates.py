@@ -101,8 +101,13 @@ def _resolve(df: DataFrame, source: str, day_first: bool,
         F.expr(f"cast((locate(__head, '{_MONTH_HEADS}') + 2) div 3 as string)"))
     df = df.withColumn("__head", head).withColumn("__month", number)
 
+    # The clock is matched once; what holds a bar cannot match, so its parts are safe.
+    parts = F.when(~F.col("__rest").contains("|") & (F.trim("__rest") != ""), F.split(
+        F.regexp_replace("__rest", _CLOCK, "$1|$2|$3|$4|$5|$6"), r"\|"))
+    df = df.withColumn("__clock", parts)
+
     def piece(group: int) -> Column:
-        return F.regexp_extract("__rest", _CLOCK, group)
+        return F.get("__clock", F.lit(group - 1))
 
     df = df.withColumns({
         "__hour": piece(1).try_cast("int"), "__min": piece(2), "__sec": piece(3),
@@ -120,7 +125,8 @@ def _resolve(df: DataFrame, source: str, day_first: bool,
                  F.when(F.col("__frac") == "", F.lit("")).otherwise(
                      F.concat(F.lit("."), F.col("__frac")))))
     zone = F.col("__zone")
-    offset = (F.when(zone.rlike(r"^[+-]\d{2}:?\d{2}$"),
+    offset = (F.when(F.coalesce(zone, F.lit("")) == "", F.lit("+00:00"))
+              .when(zone.rlike(r"^[+-]\d{2}:?\d{2}$"),
                      F.regexp_replace(zone, r"^([+-]\d{2}):?(\d{2})$", "$1:$2"))
               .when(zone.rlike(r"^[+-]\d{2}$"), F.concat(zone, F.lit(":00")))
               .otherwise(F.lit("+00:00")))

@@ -12,6 +12,7 @@ which adaptive execution splits when a ticker is hot.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 TRADING_DAYS = 3      # closes taken after the event
 LOOKAHEAD_DAYS = 35   # closes must be dated before event + 35 days
 LOOKBACK_DAYS = 10
+RECENT_DAYS = 7       # of the latest prices
 # ----------------------------------------------------------------------------
 
 
@@ -112,3 +114,19 @@ def next_trading_day_join(events: DataFrame, by_day: DataFrame,
     join by the sizes it measures.
     """
     return events.join(by_day, ["ticker", "event_date"], how)
+
+
+def recent_window(prices: DataFrame, days: int = RECENT_DAYS, *,
+                  as_of: date | None = None) -> DataFrame:
+    """The prices of each ticker's last ``days`` calendar days.
+
+    They end at ``as_of``, where the range is a plain filter that reaches the scan,
+    or else at the ticker's own latest date: one partial maximum per ticker, joined
+    back by equality. A ticker without any date has no row.
+    """
+    if as_of is not None:
+        end = F.lit(as_of)
+        return prices.where((F.col("date") > F.date_sub(end, days)) & (F.col("date") <= end))
+    latest = prices.groupBy("ticker").agg(F.max("date").alias("__latest"))
+    return prices.join(latest, "ticker").where(
+        F.col("date") > F.date_sub("__latest", days)).select(*prices.columns)

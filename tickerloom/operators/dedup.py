@@ -25,19 +25,24 @@ def any_label_missing(targets: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [is_missing_label(col(t)) for t in targets])
 
 
-def dedup_keep_unlabelled(df: DataFrame, targets: Sequence[str]) -> DataFrame:
+def dedup_keep_unlabelled(df: DataFrame, targets: Sequence[str],
+                          place: str | None = None) -> DataFrame:
     """Distinct among fully labelled rows; rows missing a label all stay.
 
     The unlabelled rows, mostly the larger part, are not shuffled. The label
     test is pushed below the row's own projections on both branches, so text is
-    normalised once per row even though the source is scanned twice.
+    normalised once per row even though the source is scanned twice. With
+    ``place``, a column of row places that no comparison looks at, the first of
+    equal rows stays.
     """
+    def distinct(rows: DataFrame) -> DataFrame:
+        if place is None:
+            return dedup_rows(rows)
+        others = [col(c) for c in df.columns if c != place]
+        return rows.groupBy(*others).agg(F.min(place).alias(place)).select(
+            *[col(c) for c in df.columns])
+
     if not targets:
-        return dedup_rows(df)
+        return distinct(df)
     missing = any_label_missing(targets)
-    return dedup_rows(df.where(~missing)).unionByName(df.where(missing))
-
-
-def restore_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows in source order, for sinks that ask for it."""
-    return df.orderBy(*[F.col(k) for k in keys])
+    return distinct(df.where(~missing)).unionByName(df.where(missing))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+
 from tickerloom.operators.numbering import global_row_number
 
 # --- fixed values -----------------------------------------------------------
@@ -54,8 +56,7 @@ def with_ids(tokens: DataFrame, vocab: DataFrame, unknown_id: int = UNKNOWN_ID)
     on the token.
     """
     vocab = vocab.select("token", "token_id")
-    size = vocab.agg(F.sum(F.octet_length("token") + ROW_BYTES).alias("bytes")).first()
-    if (size["bytes"] or 0) <= BROADCAST_BYTES:
+    if _measured(vocab) <= BROADCAST_BYTES:
         return tokens.join(F.broadcast(vocab), "token", "left").fillna(unknown_id, ["token_id"])
     common = (F.col("token_id") < FREQUENT) & (F.length("token") <= FREQUENT_CHARS)
     looked_up = tokens.join(F.broadcast(vocab.where(common)), "token", "left")
@@ -65,6 +66,52 @@ def with_ids(tokens: DataFrame, vocab: DataFrame, unknown_id: int = UNKNOWN_ID)
     return hits.unionByName(misses)
 
 
+def _measured(vocab: DataFrame) -> int:
+    size = vocab.agg(F.sum(F.octet_length("token") + ROW_BYTES).alias("bytes")).first()
+    return size["bytes"] or 0
+
+
+def encode_texts(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text: str,
+                 max_length: int = MAX_LENGTH) -> DataFrame:
+    """(keys, chunk_no, input_ids) of whole texts; the same rows as ``encode_chunks``.
+
+    A vocabulary measured as small goes to every executor, and each slice of tokens
+    is looked up where it lies: no token is shuffled. With a larger one the tokens
+    become rows that meet it in a join. Texts that are null or without tokens have
+    no row.
+    """
+    vocab = vocab.select("token", "token_id")
+    if _measured(vocab) > BROADCAST_BYTES:
+        return encode_chunks(token_rows(df, keys, text), vocab, keys, max_length)
+    slices = chunk_ids(df.select(*keys, tokens_of(F.col(text)).alias("__tokens")),
+                       "__tokens", max_length)
+    known = df.sparkSession.sparkContext.broadcast(vocab.toArrow())
+    schema = StructType([*slices.drop("__tokens").schema,
+                         StructField("input_ids", ArrayType(IntegerType()))])
+    return slices.mapInArrow(_lookup(known, UNKNOWN_ID), schema)
+
+
+def _lookup(known, unknown_id: int):
+    """Task: the last column's tokens to ids, one hash lookup per distinct token of a batch."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = known.value["token"].combine_chunks()
+        ids = known.value["token_id"].combine_chunks().cast(pa.int32())
+        for batch in batches:
+            *others, slices = batch.columns
+            found = slices.flatten().dictionary_encode()
+            place = pc.index_in(found.dictionary.cast(words.type), value_set=words)
+            of_word = pc.fill_null(ids.take(place), unknown_id)
+            starts = pc.subtract(slices.offsets, slices.offsets[0])
+            encoded = pa.ListArray.from_arrays(starts, of_word.take(found.indices))
+            yield pa.RecordBatch.from_arrays(
+                [*others, encoded], names=[*batch.schema.names[:-1], "input_ids"])
+
+    return run
+
+
 def encode_chunks(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str],
                   max_length: int = MAX_LENGTH) -> DataFrame:
     """(keys, chunk_no, input_ids): an example's ids in slices of ``max_length``.

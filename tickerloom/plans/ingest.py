@@ -31,6 +31,7 @@ from tickerloom.operators import columns as P
 from tickerloom.operators import roles as R
 from tickerloom.operators.aggregates import MIN_PARSE_PERCENT, rows_per, status_totals
 from tickerloom.operators.dedup import dedup_keep_unlabelled
+from tickerloom.operators.numbering import global_row_number
 from tickerloom.rules import FILE_RULES, FOLDER_RULES, FileRule, FolderRule, resolve_rules
 from tickerloom.session import shared_dir
 from tickerloom.sources import publishing, readers, sinks
@@ -132,8 +133,9 @@ class Ingest:
 
     def __init__(self, spark: SparkSession, root: str, output: str,
                  folder_rules: Mapping[str, FolderRule] = FOLDER_RULES,
-                 file_rules: Mapping[str, FileRule] = FILE_RULES):
+                 file_rules: Mapping[str, FileRule] = FILE_RULES, keep_order: bool = False):
         self.spark = spark
+        self.keep_order = keep_order
         self.output = output.rstrip("/")
         self.root = root.rstrip("/")
         self.base = qualified(spark, root)
@@ -268,8 +270,11 @@ class Ingest:
         wide = df.select(*keep, *([col(date).alias("date")] if date else []),
                          *[col(c).cast("string").alias(c) for c in values])
         ids = [*keep, *(["date"] if date else [])]
-        long = wide.unpivot(ids, [col(c) for c in values], "__src", "text").drop("__src")
-        return long.where("text is not null")
+        long = wide.unpivot(ids, [col(c) for c in values], "__src", "text")
+        # Column after column, each from top to bottom.
+        column = F.array_position(F.array(*map(F.lit, values)), col("__src"))
+        return long.where("text is not null").withColumn(
+            PLACE, F.struct(column.alias("column"), col(PLACE).alias("row"))).drop("__src")
 
     # -- deciding --------------------------------------------------------------
 
@@ -410,6 +415,8 @@ class Ingest:
         named = {t: title_case(col(t)) for t in targets if kinds[t] == R.STRING}
         if named:
             df = df.withColumns(named)
+        if self.keep_order:
+            return dedup_keep_unlabelled(df.select(*[col(c) for c in order]), targets, PLACE)
         return dedup_keep_unlabelled(df.select(*[col(c) for c in order if c != PLACE]), targets)
 
     def _numeric_labels(self, kinds: Mapping[str, str]) -> list[str]:
@@ -492,8 +499,12 @@ class Ingest:
 
     def _write(self, rows: DataFrame) -> int:
         group = self._written
-        placed = rows.withColumns({"schema_group": F.lit(group), **self._inside(F.col(PATH))})
-        sinks.write_parquet_tree(placed.drop(PATH), self.publication.folder)
+        placed = rows.withColumns(self._inside(F.col(PATH))).drop(PATH)
+        folder = self.publication.folder
+        if self.keep_order:
+            sinks.write_ordered_tree(placed, f"{folder}/schema_group={group}", PLACE)
+        else:
+            sinks.write_parquet_tree(placed.withColumn("schema_group", F.lit(group)), folder)
         self._written += 1
         return group
 
@@ -534,7 +545,11 @@ class Ingest:
 
 
 def ingest(spark: SparkSession, root: str, output: str, **rules) -> DataFrame:
-    """Run the whole flow; returns the manifest, one row per input file."""
+    """Run the whole flow; returns the manifest, one row per input file.
+
+    ``keep_order=True`` writes the rows of a file in the order they had there, for one
+    more shuffle; of equal rows the first stays. ``read_in_order`` gives them so.
+    """
     return Ingest(spark, root, output, **rules).run()
 
 
@@ -548,6 +563,20 @@ def read_ingested(spark: SparkSession, output: str, group: int) -> DataFrame:
     return read_group(spark, _published(spark, output), group)
 
 
+def read_in_order(spark: SparkSession, output: str, group: int,
+                  number: str = "line") -> DataFrame:
+    """``read_ingested`` with rows numbered from 1 by folder, file and place in the file.
+
+    Meant for outputs written with ``keep_order``: a row's part file and its place there
+    give the order.
+    """
+    rows = read_ingested(spark, output, group).select(
+        "*", F.col("_metadata.file_name").alias("__part_file"),
+        F.col("_metadata.row_index").alias("__row"))
+    order = [F.col(c) for c in ("source_folder", "source_file", "__part_file", "__row")]
+    return global_row_number(rows, order, number).drop("__part_file", "__row")
+
+
 def _published(spark: SparkSession, output: str) -> str:
     folder = publishing.committed(spark, output)
     if folder is None:

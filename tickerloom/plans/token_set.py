@@ -18,7 +18,7 @@ def token_dataset(chats: DataFrame, keys: Sequence[str], messages: str = "messag
     ``keys`` identify a record. Without ``vocab`` it is built from these chats.
     """
     rendered = chats.select(*keys, chat.render_chat(F.col(messages)).alias("text"))
-    rows = tokens.token_rows(rendered, keys, "text")
-    vocabulary = tokens.vocabulary(rows) if vocab is None else vocab
-    chunks = tokens.encode_chunks(rows, vocabulary, keys, max_length)
+    if vocab is None:
+        vocab = tokens.vocabulary(tokens.token_rows(rendered, keys, "text"))
+    chunks = tokens.encode_texts(rendered, vocab, keys, "text", max_length)
     return chunks.withColumn("attention_mask", tokens.attention_mask(F.col("input_ids")))

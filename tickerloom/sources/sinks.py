@@ -17,6 +17,19 @@ def write_parquet_tree(df: DataFrame, root: str, mode: str = "append",
     df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(root)
 
 
+def write_ordered_tree(df: DataFrame, root: str, place: str,
+                       keys: tuple[str, ...] = TREE_KEYS[1:]) -> None:
+    """As ``write_parquet_tree``, with the rows of a source in the order of ``place``.
+
+    Rows are split by ranges of (keys, place) and sorted within the ranges, so the
+    part files of a folder, taken by name, hold them in order; ``place`` itself is not
+    written. A large source spreads over many ranges.
+    """
+    order = [*keys, place]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).drop(place).write.mode(
+        "append").partitionBy(*keys).parquet(root)
+
+
 def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", False).json(path)
 
