@@ -73,6 +73,7 @@ def test_frequent_and_rare_tokens_get_one_id_each(spark, monkeypatch, limit):
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_texts_encode_as_token_rows_do(spark, monkeypatch, limit):
     monkeypatch.setattr(tokens, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(tokens, "LOOKED_UP", 2)
     df = spark.createDataFrame(
         [(1, "a b a c d e"), (2, "b, x"), (3, None), (4, ""), (5, " "), (6, "b, x")],
         "id int, t string")

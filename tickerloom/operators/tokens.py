@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tickerloom.operators.numbering import global_row_number
 
@@ -31,6 +31,9 @@ FREQUENT_CHARS = 64
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 64
 
+# Of a larger vocabulary, this many of its commonest tokens are looked up in place.
+LOOKED_UP = 1 << 18
+
 
 def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1))
@@ -76,24 +79,44 @@ def encode_texts(df: DataFrame, vocab: DataFrame, keys: Sequence[str], text: str
     """(keys, chunk_no, input_ids) of whole texts; the same rows as ``encode_chunks``.
 
     A vocabulary measured as small goes to every executor, and each slice of tokens
-    is looked up where it lies: no token is shuffled. With a larger one the tokens
-    become rows that meet it in a join. Texts that are null or without tokens have
-    no row.
+    is looked up where it lies: no token is shuffled. Of a larger one a fixed number of
+    common tokens is looked up so; only the rare rest of a slice becomes rows that meet
+    the vocabulary in a join, and comes back as one row per slice. Texts that are null
+    or without tokens have no row.
     """
     vocab = vocab.select("token", "token_id")
-    if _measured(vocab) > BROADCAST_BYTES:
-        return encode_chunks(token_rows(df, keys, text), vocab, keys, max_length)
     slices = chunk_ids(df.select(*keys, tokens_of(F.col(text)).alias("__tokens")),
                        "__tokens", max_length)
-    known = df.sparkSession.sparkContext.broadcast(vocab.toArrow())
-    schema = StructType([*slices.drop("__tokens").schema,
-                         StructField("input_ids", ArrayType(IntegerType()))])
-    return slices.mapInArrow(_lookup(known, UNKNOWN_ID), schema)
-
-
-def _lookup(known, unknown_id: int):
-    """Task: the last column's tokens to ids, one hash lookup per distinct token of a batch."""
+    whole = _measured(vocab) <= BROADCAST_BYTES
+    common = (F.col("token_id") < LOOKED_UP) & (F.length("token") <= FREQUENT_CHARS)
+    sent = vocab if whole else vocab.where(common)
+    known = df.sparkSession.sparkContext.broadcast(sent.toArrow())
+    schema = StructType([
+        *slices.drop("__tokens").schema, StructField("input_ids", ArrayType(IntegerType())),
+        StructField("__places", ArrayType(IntegerType())),
+        StructField("__rest", ArrayType(StringType()))])
+    looked = slices.mapInArrow(_lookup(known), schema)
+    ids = F.col("input_ids")
+    if whole:
+        return looked.select(*keys, "chunk_no", F.transform(
+            ids, lambda i: F.coalesce(i, F.lit(UNKNOWN_ID))).alias("input_ids"))
+    group = [*keys, "chunk_no"]
+    rare = looked.select(*group, F.explode(F.arrays_zip("__places", "__rest")).alias("r")).select(
+        *group, F.col("r.__places").alias("place"), F.col("r.__rest").alias("token"))
+    found = rare.join(vocab.where(~common), "token").groupBy(*group).agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "token_id"))).alias("__found"))
+    filled = F.transform(ids, lambda i, place: F.coalesce(
+        i, F.element_at("__found", place), F.lit(UNKNOWN_ID)))
+    return looked.join(found, group, "left").select(*group, filled.alias("input_ids"))
+
+
+def _lookup(known):
+    """Task: the last column's tokens to ids, one hash lookup per distinct token of a batch.
+
+    What is not known gets a null, its place in the slice and its token are listed.
+    """
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -101,13 +124,19 @@ def _lookup(known, unknown_id: int):
         ids = known.value["token_id"].combine_chunks().cast(pa.int32())
         for batch in batches:
             *others, slices = batch.columns
-            found = slices.flatten().dictionary_encode()
-            place = pc.index_in(found.dictionary.cast(words.type), value_set=words)
-            of_word = pc.fill_null(ids.take(place), unknown_id)
-            starts = pc.subtract(slices.offsets, slices.offsets[0])
-            encoded = pa.ListArray.from_arrays(starts, of_word.take(found.indices))
+            flat = slices.flatten()
+            found = flat.dictionary_encode()
+            of_word = ids.take(pc.index_in(found.dictionary.cast(words.type), value_set=words))
+            encoded = of_word.take(found.indices)
+            starts = slices.offsets.to_numpy() - slices.offsets[0].as_py()
+            at = np.flatnonzero(encoded.is_null().to_numpy(zero_copy_only=False))
+            ends = pa.array(np.searchsorted(at, starts).astype("int32"))
+            row = np.searchsorted(starts, at, side="right") - 1
             yield pa.RecordBatch.from_arrays(
-                [*others, encoded], names=[*batch.schema.names[:-1], "input_ids"])
+                [*others, pa.ListArray.from_arrays(pa.array(starts.astype("int32")), encoded),
+                 pa.ListArray.from_arrays(ends, pa.array((at - starts[row]).astype("int32"))),
+                 pa.ListArray.from_arrays(ends, flat.take(pa.array(at)))],
+                names=[*batch.schema.names[:-1], "input_ids", "__places", "__rest"])
 
     return run
 
