@@ -37,20 +37,24 @@ def qualified(spark: SparkSession, root: str) -> str:
     return system.makeQualified(path).toString().rstrip("/")
 
 
+def opened(path: str):
+    """The pyarrow file system of a qualified path, and the path there."""
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    authority, _, inner = rest.lstrip("/").partition("/")
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, "/".join(p for p in (base.rstrip("/"), inner) if p) or "/"
+
+
 def _children(batches: Iterator) -> Iterator:
     """Task: what lies in each folder, one batch per 4,096 entries."""
     import pyarrow as pa
     from pyarrow import fs
 
-    def opened(folder: str):
-        scheme, _, rest = folder.partition(":")
-        if scheme == "file":
-            return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-        authority, _, inner = rest.lstrip("/").partition("/")
-        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-        system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-        return system, "/".join(p for p in (base.rstrip("/"), inner) if p) or "/"
-
     def sent(rows: list):
         columns = list(zip(*rows))
         return pa.RecordBatch.from_arrays([
