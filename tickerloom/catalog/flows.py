@@ -114,10 +114,10 @@ def chat_training_set(spark: SparkSession, sf: str) -> DataFrame:
     base = f"{shared_dir(prepare(spark))}/chat-{uuid.uuid4().hex}"
     texts = table(spark, sf, "documents").select(F.col("text").alias("input"))
     sinks.overwrite_jsonl(texts, f"{base}/inputs")
-    responses = known_responses(spark, sf)
+    known = chat.known_outputs(known_responses(spark, sf)).checkpoint()
     chat_set.chat_training_set(
         spark, f"{base}/inputs", f"{base}/labelled", f"{base}/chat",
-        lambda df: chat.label_from_table(df, responses))
+        lambda df: chat.label_from_known(df, known))
     return readers.read_chat_dataset(spark, f"{base}/chat").select(
         chat.render_chat(F.col("messages")).alias("text"))
 
@@ -154,13 +154,13 @@ def newly_labelled(spark: SparkSession, sf: str) -> DataFrame:
     base = f"{shared_dir(prepare(spark))}/newly-{uuid.uuid4().hex}"
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("input"))
     marked = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    responses = known_responses(spark, sf)
+    known = chat.known_outputs(known_responses(spark, sf)).checkpoint()
     found = []
     for run, texts in enumerate([marked, docs, docs]):
         sinks.overwrite_jsonl(texts.select("input"), f"{base}/inputs{run}")
         counts = chat_set.chat_training_set(
             spark, f"{base}/inputs{run}", f"{base}/labelled", f"{base}/chat",
-            lambda df: chat.label_from_table(df, responses))
+            lambda df: chat.label_from_known(df, known))
         found.append(counts.withColumn("run", F.lit(run)))
     return reduce(DataFrame.unionByName, found)
 

@@ -15,6 +15,8 @@ from tickerloom.operators.filters import well_formed
 # --- fixed values -----------------------------------------------------------
 PROMPT_LEAD = "Analyze this text:\n\n"
 START, END = "<|im_start|>", "<|im_end|>"
+# Digests that are broadcast to pick a batch's outputs: about 16 MB.
+FEW_DIGESTS = 250_000
 
 SYSTEM_PROMPT = """You are a Senior Portfolio Manager and Quantitative Analyst at a top-tier hedge fund. Your task is to analyze financial news/reports and provide a structured, high-signal assessment.
 
@@ -86,13 +88,29 @@ def label_batches(df: DataFrame, label: Callable[[pd.Series], pd.Series],
     return well_formed(df.mapInPandas(run, schema))
 
 
-def label_from_table(df: DataFrame, responses: DataFrame, text: str = "input") -> DataFrame:
-    """Adds ``output`` from a table of (text, output) responses.
+def known_outputs(responses: DataFrame, text: str = "input") -> DataFrame:
+    """(digest, output) of a table of (text, output) responses, one row per text.
 
-    Joined on digests, so the long text is shuffled with the input rows only.
     A text with several responses gets the smallest, to stay repeatable.
     """
-    known = responses.select(F.sha2(F.col(text), 256).alias("__digest"), "output")
-    known = well_formed(known).groupBy("__digest").agg(F.min("output").alias("output"))
-    return (df.withColumn("__digest", F.sha2(F.col(text), 256))
-            .join(known, "__digest").drop("__digest"))
+    known = responses.select(F.unhex(F.sha2(F.col(text), 256)).alias("__digest"), "output")
+    return well_formed(known).groupBy("__digest").agg(F.min("output").alias("output"))
+
+
+def label_from_known(df: DataFrame, known: DataFrame, text: str = "input") -> DataFrame:
+    """Adds ``output`` from ``known_outputs``.
+
+    Joined on digests, so the long text is shuffled with the input rows only. The
+    digests of a batch are counted; if few, they pick its outputs before the shuffle,
+    so many batches do not shuffle all outputs each.
+    """
+    asked = df.withColumn("__digest", F.unhex(F.sha2(F.col(text), 256)))
+    digests = asked.select("__digest").distinct()
+    if digests.count() <= FEW_DIGESTS:
+        known = known.join(F.broadcast(digests), "__digest", "left_semi")
+    return asked.join(known, "__digest").drop("__digest")
+
+
+def label_from_table(df: DataFrame, responses: DataFrame, text: str = "input") -> DataFrame:
+    """Adds ``output`` from a table of (text, output) responses."""
+    return label_from_known(df, known_outputs(responses, text), text)
