@@ -130,7 +130,8 @@ def incremental_news(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs, the first of which dies between its records and its log."""
     base = f"{shared_dir(prepare(spark))}/news-{uuid.uuid4().hex}"
     companies, keywords = companies_and_keywords(spark, sf)
-    inputs = (news(spark, sf), alpha_queries.prices(spark, sf),
+    # Every run reads the articles several times; they are put together once.
+    inputs = (news(spark, sf).checkpoint(), alpha_queries.prices(spark, sf),
               alpha_queries.benchmark(spark, sf), companies, keywords)
 
     def crash() -> None:
