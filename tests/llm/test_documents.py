@@ -373,6 +373,61 @@ def test_near_passages_in_a_crowd_equal_brute_force(spark):
     assert len(hit.keys() & expected) >= 0.95 * len(expected)
 
 
+def covered_by_brute_force(rows):
+    """Words of each document in a passage that some earlier one has, all pairs compared."""
+    tokens = {i: sh.shingle_hashes(sh.WordHashes()(sh.words_of(t)), 5).astype(np.uint32)
+              for i, t in rows}
+    hit = defaultdict(set)
+    for j in tokens:
+        for i in tokens:
+            if i < j:
+                for a, b, _, _ in passages.shared(tokens[j], passages.Hub(tokens[i]), 46, 0.8):
+                    hit[j].update(range(a, b + 4))
+    return hit
+
+
+def test_near_passages_behind_one_seed_equal_brute_force(spark):
+    """The one stretch in common is a line that more earlier documents hold than meet at once."""
+    chance = random.Random(41)
+
+    def words(n):
+        return prose(chance, n, 10**6)
+
+    line = words(30)
+    rows = [(i, f"{words(40)} {line} {words(40)}") for i in range(2 * passages.HEADS + 10)]
+    for n in range(20):
+        tail = words(22)
+        rows += [(1000 + 2 * n + k, f"{words(40)} {line} {words(1)} {tail} {words(40)}")
+                 for k in (0, 1)]
+    for n in range(20):  # the second of three is covered there by the first, but not by the third
+        head, tail = words(22), words(40)
+        rows += [(2000 + 3 * n, f"{words(40)} {line} {tail} {words(40)}"),
+                 (2001 + 3 * n, f"{words(40)} {head} {words(1)} {line} {tail} {words(40)}"),
+                 (2002 + 3 * n, f"{words(40)} {head} {words(1)} {line} {words(40)}")]
+    expected = covered_by_brute_force(rows)
+    assert {1001 + 2 * n for n in range(20)} <= expected.keys()
+    assert {2002 + 3 * n for n in range(20)} <= expected.keys()
+    assert hits_of(spark, rows) == expected
+
+
+def test_spans_of_grams_equal_brute_force():
+    draw = np.random.default_rng(43)
+    for width in (46, 37, 12):
+        for _ in range(20):
+            within = np.zeros(160, bool)
+            for _ in range(draw.integers(1, 7)):
+                a = draw.integers(0, 130)
+                within[a:a + draw.integers(4, 30)] = True
+            at = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(within, 4).all(1))
+            place = draw.choice(150, 8, replace=False)
+            score = np.concatenate([[0], np.cumsum(np.where(within, 1, -4))])
+            expected = [any(score[j] >= score[i] and within[i] and within[j - 1]
+                            for i in range(p + 1)
+                            for j in range(max(p + 10, i + width), 161)) for p in place]
+            assert passages.spanned(at, place, 10, width, 0.8).tolist() == expected
+    assert not passages.spanned(np.zeros(0, np.int64), np.array([3]), 10, 46, 0.8).any()
+
+
 def test_one_row_per_maximal_passage(spark):
     chance = random.Random(37)
     a, b = prose(chance, 60, 10**6), prose(chance, 60, 10**6)
